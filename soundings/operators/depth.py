@@ -18,12 +18,11 @@ def _depth_cells(
     samples = df.select(RUN, TIME, SEQ, DEPTH, *carried)
     if drop_nulls:
         samples = samples.where(F.col(DEPTH).isNotNull())
-    return RunCells(samples, counted=df, size=size)
+    return RunCells(samples, counted=df, lookback=1, size=size)
 
 
 def _rates(cells: RunCells, only_long: bool = False) -> DataFrame:
-    steps = cells.with_lookback(
-        1,
+    steps = cells.with_columns(
         lambda w: {
             "_prev_depth": F.lag(DEPTH).over(w),
             "_prev_time": F.lag(TIME).over(w),

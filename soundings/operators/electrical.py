@@ -25,11 +25,8 @@ def energy_per_run(
     power = _battery(df, drop_nulls).select(
         RUN, TIME, SEQ, (F.col(VOLTAGE) * F.col(CURRENT)).alias("power_w")
     )
-    steps = RunCells(power, counted=df, size=size).with_lookback(
-        1,
-        lambda w: {
-            "delta_seconds": seconds_between(F.col(TIME), F.lag(TIME).over(w))
-        },
+    steps = RunCells(power, counted=df, lookback=1, size=size).with_columns(
+        lambda w: {"delta_seconds": seconds_between(F.col(TIME), F.lag(TIME).over(w))}
     )
     joules = F.sum(F.col("power_w") * F.col("delta_seconds"))
     return (
@@ -55,9 +52,9 @@ def voltage_sag_events(
             "baseline_current_a": F.avg(CURRENT).over(before),
         }
 
-    cells = RunCells(_battery(df, drop_nulls=True), counted=df, size=size)
+    cells = RunCells(_battery(df, drop_nulls=True), df, lookback=window, size=size)
     return (
-        cells.with_lookback(window, baselines)
+        cells.with_columns(baselines)
         .select(
             RUN,
             TIME,
@@ -77,14 +74,13 @@ def voltage_sag_step(
     df: DataFrame, dv: float = -0.05, di: float = 0.5, size: CellSize = DEFAULT_SIZE
 ) -> DataFrame:
     """Like :func:`voltage_sag_events`, against the single sample before, missing values included."""
-    cells = RunCells(_battery(df, drop_nulls=False), counted=df, size=size)
+    cells = RunCells(_battery(df, drop_nulls=False), df, lookback=1, size=size)
     return (
-        cells.with_lookback(
-            1,
+        cells.with_columns(
             lambda w: {
                 "delta_voltage": F.col(VOLTAGE) - F.lag(VOLTAGE).over(w),
                 "delta_current": F.col(CURRENT) - F.lag(CURRENT).over(w),
-            },
+            }
         )
         .select(RUN, TIME, VOLTAGE, CURRENT, "delta_voltage", "delta_current")
         .where((F.col("delta_voltage") <= dv) & (F.col("delta_current") >= di))

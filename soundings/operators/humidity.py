@@ -35,13 +35,12 @@ def humidity_rapid_rise(
     df: DataFrame, rise_rate: float = 3.0, size: CellSize = DEFAULT_SIZE
 ) -> DataFrame:
     """Samples that rose by more than ``rise_rate`` percent per minute since the one before."""
-    cells = RunCells(humidity_clean(df), counted=df, size=size)
-    steps = cells.with_lookback(
-        1,
+    cells = RunCells(humidity_clean(df), counted=df, lookback=1, size=size)
+    steps = cells.with_columns(
         lambda w: {
             "_before": F.lag(HUMIDITY).over(w),
             "_before_time": F.lag(TIME).over(w),
-        },
+        }
     )
     minutes = seconds_between(F.col(TIME), F.col("_before_time")) / F.lit(60.0)
     rate = rate_per(F.col(HUMIDITY) - F.col("_before"), minutes)
@@ -66,10 +65,9 @@ def humidity_rolling_elevation(
     size: CellSize = DEFAULT_SIZE,
 ) -> DataFrame:
     """Runs whose mean over a sample and ``window`` before it exceeds the threshold, and how often."""
-    cells = RunCells(humidity_clean(df), counted=df, size=size)
-    rolling = cells.with_lookback(
-        window,
-        lambda w: {"rolling_avg": F.avg(HUMIDITY).over(w.rowsBetween(-window, 0))},
+    cells = RunCells(humidity_clean(df), counted=df, lookback=window, size=size)
+    rolling = cells.with_columns(
+        lambda w: {"rolling_avg": F.avg(HUMIDITY).over(w.rowsBetween(-window, 0))}
     )
     return (
         rolling.where(F.col("rolling_avg") > threshold)

@@ -32,8 +32,8 @@ def accel_zscores(
         F.col("rolling_std") > 0, deviation / F.col("rolling_std")
     ).otherwise(F.lit(0.0))
     return (
-        RunCells(magnitudes, counted=df, size=size)
-        .with_lookback(window, rolling)
+        RunCells(magnitudes, counted=df, lookback=window, size=size)
+        .with_columns(rolling)
         .select(
             RUN,
             TIME,

@@ -10,13 +10,11 @@ from soundings.schema import RUN, SEQ, TIME
 
 
 def _by_counter(df: DataFrame, size: CellSize) -> DataFrame:
-    cells = RunCells(df.select(RUN, SEQ, TIME), counted=df, order=BY_SEQ, size=size)
-    return cells.with_lookback(
-        1,
-        lambda w: {
-            "prev_seq": F.lag(SEQ).over(w),
-            "prev_time": F.lag(TIME).over(w),
-        },
+    cells = RunCells(
+        df.select(RUN, SEQ, TIME), counted=df, lookback=1, order=BY_SEQ, size=size
+    )
+    return cells.with_columns(
+        lambda w: {"prev_seq": F.lag(SEQ).over(w), "prev_time": F.lag(TIME).over(w)}
     )
 
 

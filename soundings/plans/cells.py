@@ -4,18 +4,19 @@
 ``hot_rows`` rows is cut into *cells*: consecutive stretches, in time order, of about
 ``cell_rows`` rows. Windows are partitioned by ``(run_id, cell)``, so no task ever holds a run.
 
-* Where the cuts are. A sample starts a new cell if a hash of its (run, time, seq) is 0 modulo
-  ``cell_rows``. The cuts thus follow the data, however unevenly it lies in time, and depend on
-  nothing but row content, so a retried task or a second scan finds the same ones.
-* What is broadcast. Only cuts of long runs: there are at most ``rows / hot_rows`` such runs and
-  about ``rows / cell_rows`` cuts (some 24 MB for 10^12 rows).
-* What a cell needs from earlier ones. Each cell hands a copy of its last ``lookback`` rows to the
-  next ``lookback`` cells. Every cell after the first holds at least its opening row, so those
-  copies always include the ``lookback`` rows just before the receiving cell. The copies feed
-  the window frames and are dropped afterwards.
-
-Everything is lazy. When no run is long, the list of cuts is empty and adaptive execution drops
-the joins and the branch of copies: one exchange, one sort and one window remain.
+* Where the cuts are. Rows whose hash of (run, time, seq) falls into a fixed residue class are the
+  *marks* of a run, ``marks_per_cell`` to a cell; every ``marks_per_cell``-th mark opens a cell.
+  Marks follow the data, however unevenly it lies in time, and depend on nothing but row content,
+  so a retried task or a second scan finds the same ones.
+* What a cell needs from earlier ones. Frames reach ``lookback`` rows back. A mark is a row, so
+  the rows from the ``lookback``-th last mark of a cell onwards include its last ``lookback``
+  rows. They are sent to the following cell too, feed the frames there and are dropped again.
+  That is a share of about ``lookback / marks_per_cell`` more rows of long runs to shuffle.
+* What is broadcast. Two keys per cell of a long run: at most ``rows / hot_rows`` such runs and
+  about ``rows / cell_rows`` cells (some 12 MB for 10^12 rows).
+
+Everything is lazy. When no run is long there are no cuts, and adaptive execution drops the join:
+one scan, one exchange, one sort and one window remain, after a count of the run column.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ from soundings.schema import RUN, SEQ, TIME
 
 CELL = "_cell"
 LONG = "_long"
-_BORROWED = "_borrowed"
+_KEY = "_key"
 _CUTS = "_cuts"
-_PROBES = "_probes"
+_TAILS = "_tails"
+_STRIDES = "_strides"
+_LONG_RUN = "_long_run"
 
 BY_TIME = (TIME, SEQ)
 BY_SEQ = (SEQ, TIME)
@@ -43,15 +46,16 @@ BY_SEQ = (SEQ, TIME)
 class CellSize:
     """Row counts that steer the cutting of long runs; results do not depend on them."""
 
-    hot_rows: int = 4_000_000
-    cell_rows: int = 1_000_000
+    hot_rows: int = 12_000_000
+    cell_rows: int = 4_000_000
+    marks_per_cell: int = 128
 
 
 DEFAULT_SIZE = CellSize()
 
 
 class RunCells:
-    """Cuts for the rows of ``df`` in the order ``order``.
+    """Cuts for the rows of ``df`` in the order ``order``, for frames up to ``lookback`` rows back.
 
     ``df`` holds exactly the rows the windows will see. ``counted`` may name a wider frame with the
     same runs (the unfiltered table), whose ``run_id`` column alone is then read to find long runs.
@@ -61,35 +65,36 @@ class RunCells:
         self,
         df: DataFrame,
         counted: DataFrame | None = None,
+        lookback: int = 0,
         order: Sequence[str] = BY_TIME,
         size: CellSize = DEFAULT_SIZE,
     ):
         self.df = df
+        self.lookback = lookback
         self.order = tuple(order)
         self.size = size
         self.cuts = self._find_cuts(df if counted is None else counted)
 
-    # ---- rows with their cell ----
-
     def all_rows(self) -> DataFrame:
         """Every row with its cell; cell 0 throughout for runs that are not long."""
-        return self._place(self.df, "left")
+        return self._placed("left").select(*self.df.columns, LONG, CELL)
 
     def long_rows(self) -> DataFrame:
         """Rows of long runs only; an empty frame, known early, when there are none."""
-        return self._place(self.df, "inner")
-
-    def window(self) -> WindowSpec:
-        """Time order inside a cell, ties settled by the remaining columns."""
-        return self._ordered(self.whole_cell())
+        return self._placed("inner").select(*self.df.columns, LONG, CELL)
 
     def whole_cell(self) -> WindowSpec:
         """All rows of a cell; all rows of the run unless the run is long."""
         return Window.partitionBy(RUN, CELL)
 
-    def with_lookback(
+    def window(self) -> WindowSpec:
+        """Time order inside a cell, ties settled by the remaining columns."""
+        ties = [c for c in self.df.columns if c not in (RUN, *self.order)]
+        names = (*self.order, *ties)
+        return self.whole_cell().orderBy(*[F.col(n).asc_nulls_last() for n in names])
+
+    def with_columns(
         self,
-        lookback: int,
         columns: Callable[[WindowSpec], dict[str, Column]],
         only_long: bool = False,
     ) -> DataFrame:
@@ -98,37 +103,55 @@ class RunCells:
         ``columns`` gets the window and returns the columns to add. The result has one row per
         input row (of a long run, with ``only_long``), with ``_cell`` and ``_long`` kept.
         """
-        rows = self.long_rows() if only_long else self.all_rows()
-        framed = rows.withColumn(_BORROWED, F.lit(False))
-        framed = framed.unionByName(self._handed_on(lookback))
+        rows = self._placed("inner" if only_long else "left")
+        # A complete cell has at least marks_per_cell rows, so this many cells suffice.
+        reach = -(-self.lookback // self.size.marks_per_cell)
+        in_tail = F.col(_KEY) >= F.get(_TAILS, F.col(CELL))
+        if reach > 1:  # cells may be shorter than the frame: send them whole
+            in_tail = F.col(LONG)
+        last = F.col(CELL) + F.when(in_tail, F.lit(reach)).otherwise(F.lit(0))
+        sent = rows.select(
+            *self.df.columns,
+            LONG,
+            F.posexplode(F.sequence(F.col(CELL), last)).alias("_copy", CELL),
+        )
         added = columns(self.window())
-        return framed.withColumns(added).where(~F.col(_BORROWED)).drop(_BORROWED)
-
-    # ---- internals ----
+        return sent.withColumns(added).where(F.col("_copy") == 0).drop("_copy")
 
     def _find_cuts(self, counted: DataFrame) -> DataFrame:
+        per_cell = self.size.marks_per_cell
         long_runs = (
             counted.groupBy(RUN)
             .agg(F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > self.size.hot_rows)
-            .select(F.col(RUN).alias("_long_run"))
+            .select(F.col(RUN).alias(_LONG_RUN))
         )
-        opens_cell = (
-            F.pmod(F.xxhash64(RUN, *self.order), F.lit(self.size.cell_rows)) == 0
-        )
-        cuts = (
+        spacing = max(self.size.cell_rows // per_cell, 1)
+        is_mark = F.pmod(F.xxhash64(RUN, *self.order), F.lit(spacing)) == 0
+        marks = (
             self.df.select(RUN, *self.order)
-            .where(opens_cell)
-            .join(F.broadcast(long_runs), F.col(RUN).eqNullSafe(F.col("_long_run")))
-            .groupBy("_long_run")
-            .agg(F.sort_array(F.collect_set(self._key())).alias(_CUTS))
+            .where(is_mark)
+            .join(F.broadcast(long_runs), F.col(RUN).eqNullSafe(F.col(_LONG_RUN)))
+            .select(_LONG_RUN, self._key().alias(_KEY))
+            .distinct()
         )
-        # Powers of two up to the number of cuts, largest first: the strides of the search below.
-        strides = F.expr(
-            f"transform(sequence(cast(floor(log2(size({_CUTS}))) as int), 0, -1),"
-            " i -> cast(pow(2, i) as int))"
+        in_order = Window.partitionBy(_LONG_RUN).orderBy(_KEY)
+        place = F.pmod(F.row_number().over(in_order) - 1, F.lit(per_cell))
+        tail_place = max(per_cell - self.lookback, 0)
+        return (
+            marks.withColumn("_place", place)
+            .where(F.col("_place").isin(0, tail_place))
+            .groupBy(_LONG_RUN)
+            .agg(
+                _sorted_keys(F.col("_place") == 0).alias("_starts"),
+                _sorted_keys(F.col("_place") == tail_place).alias(_TAILS),
+            )
+            .where(F.size("_starts") > 1)
+            # The first cell starts with the run, not with its first mark.
+            .withColumn(_CUTS, F.slice("_starts", 2, F.size("_starts")))
+            .withColumn(_STRIDES, _powers_of_two(F.size("_starts") - 1))
+            .select(_LONG_RUN, _CUTS, _TAILS, _STRIDES)
         )
-        return cuts.withColumn(_PROBES, strides)
 
     def _key(self) -> Column:
         """Sort key of a row as a struct of longs, NULLs last."""
@@ -138,50 +161,29 @@ class RunCells:
             parts.append(F.coalesce(value, F.lit(2**63 - 1)).alias(name))
         return F.struct(*parts)
 
-    def _place(self, df: DataFrame, how: str) -> DataFrame:
-        at_or_after = F.aggregate(
-            F.col(_PROBES),
+    def _placed(self, how: str) -> DataFrame:
+        cuts_passed = F.aggregate(
+            F.col(_STRIDES),
             F.lit(0),
-            lambda found, stride: F.when(
-                F.get(F.col(_CUTS), found + stride - 1) <= F.col("_key"), found + stride
-            ).otherwise(found),
+            lambda passed, stride: F.when(
+                F.get(F.col(_CUTS), passed + stride - 1) <= F.col(_KEY), passed + stride
+            ).otherwise(passed),
         )
+        is_long = F.col(_CUTS).isNotNull()
         return (
-            df.withColumn("_key", self._key())
-            .join(
-                F.broadcast(self.cuts), F.col(RUN).eqNullSafe(F.col("_long_run")), how
-            )
+            self.df.withColumn(_KEY, self._key())
+            .join(F.broadcast(self.cuts), F.col(RUN).eqNullSafe(F.col(_LONG_RUN)), how)
             .withColumns(
-                {
-                    LONG: F.col(_CUTS).isNotNull(),
-                    CELL: F.when(F.col(_CUTS).isNotNull(), at_or_after).otherwise(
-                        F.lit(0)
-                    ),
-                }
+                {LONG: is_long, CELL: F.when(is_long, cuts_passed).otherwise(F.lit(0))}
             )
-            .select(*df.columns, LONG, CELL)
         )
 
-    def _handed_on(self, lookback: int) -> DataFrame:
-        """Copies of each cell's last rows, addressed to the following cells."""
-        from_end = self._ordered(self.whole_cell(), backwards=True)
-        return (
-            self.long_rows()
-            .withColumn("_from_end", F.row_number().over(from_end))
-            .where(F.col("_from_end") <= lookback)
-            .withColumn(
-                CELL,
-                F.explode(
-                    F.sequence(F.col(CELL) + 1, F.col(CELL) + F.lit(lookback))
-                ),
-            )
-            .withColumn(_BORROWED, F.lit(True))
-            .drop("_from_end")
-        )
 
-    def _ordered(self, window: WindowSpec, backwards: bool = False) -> WindowSpec:
-        ties = [c for c in self.df.columns if c not in (RUN, *self.order)]
-        names = (*self.order, *ties)
-        if backwards:
-            return window.orderBy(*[F.col(n).desc_nulls_first() for n in names])
-        return window.orderBy(*[F.col(n).asc_nulls_last() for n in names])
+def _sorted_keys(kept: Column) -> Column:
+    return F.sort_array(F.collect_list(F.when(kept, F.col(_KEY))))
+
+
+def _powers_of_two(limit: Column) -> Column:
+    """Powers of two up to ``limit``, largest first: the strides of a binary search."""
+    exponents = F.sequence(F.floor(F.log2(limit)).cast("int"), F.lit(0), F.lit(-1))
+    return F.transform(exponents, lambda e: F.pow(F.lit(2), e).cast("int"))

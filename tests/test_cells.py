@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import soundings as s
 from soundings.plans.cells import BY_TIME, CELL, CellSize, RunCells
 
-CUT = CellSize(hot_rows=40, cell_rows=6)
+CUT = CellSize(hot_rows=40, cell_rows=6, marks_per_cell=2)
 WINDOWED = [
     s.energy_per_run,
     s.voltage_sag_events,
@@ -109,15 +109,17 @@ def test_z_scores_stay_within_their_bound(skewed):
 
 
 @pytest.mark.parametrize("lookback", [1, 4, 30])
-def test_frames_reach_back_over_several_cells(spark, lookback):
+@pytest.mark.parametrize("per_cell", [1, 3, 8])
+def test_frames_reach_back_over_cells(spark, lookback, per_cell):
     df = samples(spark, A=[{"t": i, "depth_m": float(i)} for i in range(200)])
-    cells = RunCells(df.select("run_id", *BY_TIME, "depth_m"), size=CellSize(10, 3))
-    rows = cells.with_lookback(
-        lookback,
-        lambda w: {"before": F.sum("depth_m").over(w.rowsBetween(-lookback, -1))},
+    marked = CellSize(hot_rows=10, cell_rows=2 * per_cell, marks_per_cell=per_cell)
+    keys = df.select("run_id", *BY_TIME, "depth_m")
+    cells = RunCells(keys, lookback=lookback, size=marked)
+    rows = cells.with_columns(
+        lambda w: {"before": F.sum("depth_m").over(w.rowsBetween(-lookback, -1))}
     ).collect()
     assert len(rows) == 200
-    assert len({r[CELL] for r in rows}) > 30
+    assert len({r[CELL] for r in rows}) > 50 / per_cell
     for r in rows:
         expected = sum(range(max(0, r.seq - lookback), r.seq)) if r.seq else None
         assert r.before == expected
@@ -125,11 +127,11 @@ def test_frames_reach_back_over_several_cells(spark, lookback):
 
 def test_cells_are_small_consecutive_stretches(spark):
     df = samples(spark, A=[{"t": (i // 50) ** 3} for i in range(3000)])
-    cells = RunCells(df.select("run_id", *BY_TIME), size=CellSize(100, 40))
+    cells = RunCells(df.select("run_id", *BY_TIME), size=CellSize(100, 40, 10))
     rows = sorted(cells.all_rows().collect(), key=lambda r: (r.timestamp_utc, r.seq))
     numbers = [r[CELL] for r in rows]
     assert numbers == sorted(numbers)
-    assert max(numbers.count(n) for n in set(numbers)) < 40 * 10
+    assert max(numbers.count(n) for n in set(numbers)) < 40 * 3
     assert cells.all_rows().count() == cells.long_rows().count() == 3000
 
 

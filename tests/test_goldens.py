@@ -9,7 +9,7 @@ import soundings as s
 from soundings.plans.cells import CellSize
 
 # Results must not depend on how runs are cut: not at all, or after about every second row.
-SIZES = [CellSize(), CellSize(hot_rows=1, cell_rows=2)]
+SIZES = [CellSize(), CellSize(hot_rows=1, cell_rows=2, marks_per_cell=1)]
 
 
 @pytest.fixture(params=SIZES, ids=["whole", "cut"])
