@@ -106,84 +106,87 @@ class RunCells:
         rows = self._placed("inner" if only_long else "left")
         # A complete cell has at least marks_per_cell rows, so this many cells suffice.
         reach = -(-self.lookback // self.size.marks_per_cell)
-        in_tail = F.col(_KEY) >= F.get(_TAILS, F.col(CELL))
+        in_tail = f"{_KEY} >= get({_TAILS}, {CELL})"
         if reach > 1:  # cells may be shorter than the frame: send them whole
-            in_tail = F.col(LONG)
-        last = F.col(CELL) + F.when(in_tail, F.lit(reach)).otherwise(F.lit(0))
-        sent = rows.select(
-            *self.df.columns,
-            LONG,
-            F.posexplode(F.sequence(F.col(CELL), last)).alias("_copy", CELL),
+            in_tail = LONG
+        receivers = f"sequence({CELL}, {CELL} + if({in_tail}, {reach}, 0))"
+        sent = rows.selectExpr(
+            *self.df.columns, LONG, f"posexplode({receivers}) AS (_copy, {CELL})"
         )
         added = columns(self.window())
-        return sent.withColumns(added).where(F.col("_copy") == 0).drop("_copy")
+        return sent.withColumns(added).where("_copy = 0").drop("_copy")
 
     def _find_cuts(self, counted: DataFrame) -> DataFrame:
-        per_cell = self.size.marks_per_cell
+        size = self.size
         long_runs = (
             counted.groupBy(RUN)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > self.size.hot_rows)
-            .select(F.col(RUN).alias(_LONG_RUN))
+            .count()
+            .where(f"count > {size.hot_rows}")
+            .selectExpr(f"{RUN} AS {_LONG_RUN}")
         )
-        spacing = max(self.size.cell_rows // per_cell, 1)
-        is_mark = F.pmod(F.xxhash64(RUN, *self.order), F.lit(spacing)) == 0
+        spacing = max(size.cell_rows // size.marks_per_cell, 1)
         marks = (
-            self.df.select(RUN, *self.order)
-            .where(is_mark)
-            .join(F.broadcast(long_runs), F.col(RUN).eqNullSafe(F.col(_LONG_RUN)))
-            .select(_LONG_RUN, self._key().alias(_KEY))
+            self.df.where(f"pmod(xxhash64({RUN}, {', '.join(self.order)}), {spacing}) = 0")
+            .join(F.broadcast(long_runs), _same_run())
+            .selectExpr(_LONG_RUN, self._key())
             .distinct()
         )
-        in_order = Window.partitionBy(_LONG_RUN).orderBy(_KEY)
-        place = F.pmod(F.row_number().over(in_order) - 1, F.lit(per_cell))
-        tail_place = max(per_cell - self.lookback, 0)
+        in_order = f"PARTITION BY {_LONG_RUN} ORDER BY {_KEY}"
+        tail_place = max(size.marks_per_cell - self.lookback, 0)
         return (
-            marks.withColumn("_place", place)
-            .where(F.col("_place").isin(0, tail_place))
+            marks.selectExpr(
+                "*",
+                f"(row_number() OVER ({in_order}) - 1) % {size.marks_per_cell} AS _place",
+            )
+            .where(f"_place IN (0, {tail_place})")
             .groupBy(_LONG_RUN)
             .agg(
-                _sorted_keys(F.col("_place") == 0).alias("_starts"),
-                _sorted_keys(F.col("_place") == tail_place).alias(_TAILS),
+                _sorted_keys("_place = 0").alias("_starts"),
+                _sorted_keys(f"_place = {tail_place}").alias(_TAILS),
             )
-            .where(F.size("_starts") > 1)
+            .where("size(_starts) > 1")
             # The first cell starts with the run, not with its first mark.
-            .withColumn(_CUTS, F.slice("_starts", 2, F.size("_starts")))
-            .withColumn(_STRIDES, _powers_of_two(F.size("_starts") - 1))
-            .select(_LONG_RUN, _CUTS, _TAILS, _STRIDES)
+            .selectExpr(
+                _LONG_RUN,
+                f"slice(_starts, 2, size(_starts)) AS {_CUTS}",
+                _TAILS,
+                f"{_powers_of_two('size(_starts) - 1')} AS {_STRIDES}",
+            )
         )
 
-    def _key(self) -> Column:
+    def _key(self) -> str:
         """Sort key of a row as a struct of longs, NULLs last."""
-        parts = []
-        for name in self.order:
-            value = F.unix_micros(name) if name == TIME else F.col(name).cast("bigint")
-            parts.append(F.coalesce(value, F.lit(2**63 - 1)).alias(name))
-        return F.struct(*parts)
+        longs = [
+            f"coalesce({f'unix_micros({c})' if c == TIME else f'bigint({c})'}, {2**63 - 1}) AS {c}"
+            for c in self.order
+        ]
+        return f"struct({', '.join(longs)}) AS {_KEY}"
 
     def _placed(self, how: str) -> DataFrame:
-        cuts_passed = F.aggregate(
-            F.col(_STRIDES),
-            F.lit(0),
-            lambda passed, stride: F.when(
-                F.get(F.col(_CUTS), passed + stride - 1) <= F.col(_KEY), passed + stride
-            ).otherwise(passed),
+        cuts_passed = (
+            f"aggregate({_STRIDES}, 0, (passed, stride) -> "
+            f"if(get({_CUTS}, passed + stride - 1) <= {_KEY}, passed + stride, passed))"
         )
-        is_long = F.col(_CUTS).isNotNull()
         return (
-            self.df.withColumn(_KEY, self._key())
-            .join(F.broadcast(self.cuts), F.col(RUN).eqNullSafe(F.col(_LONG_RUN)), how)
-            .withColumns(
-                {LONG: is_long, CELL: F.when(is_long, cuts_passed).otherwise(F.lit(0))}
+            self.df.selectExpr("*", self._key())
+            .join(F.broadcast(self.cuts), _same_run(), how)
+            .selectExpr(
+                "*",
+                f"{_CUTS} IS NOT NULL AS {LONG}",
+                f"if({_CUTS} IS NOT NULL, {cuts_passed}, 0) AS {CELL}",
             )
         )
 
 
-def _sorted_keys(kept: Column) -> Column:
-    return F.sort_array(F.collect_list(F.when(kept, F.col(_KEY))))
+def _same_run() -> Column:
+    return F.expr(f"{RUN} <=> {_LONG_RUN}")
+
+
+def _sorted_keys(condition: str) -> Column:
+    return F.expr(f"sort_array(collect_list(if({condition}, {_KEY}, NULL)))")
 
 
-def _powers_of_two(limit: Column) -> Column:
+def _powers_of_two(limit: str) -> str:
     """Powers of two up to ``limit``, largest first: the strides of a binary search."""
-    exponents = F.sequence(F.floor(F.log2(limit)).cast("int"), F.lit(0), F.lit(-1))
-    return F.transform(exponents, lambda e: F.pow(F.lit(2), e).cast("int"))
+    exponents = f"sequence(int(floor(log2({limit}))), 0, -1)"
+    return f"transform({exponents}, e -> int(pow(2, e)))"
