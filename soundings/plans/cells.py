@@ -4,8 +4,8 @@
 ``hot_rows`` rows is cut into *cells*: consecutive stretches, in time order, of about
 ``cell_rows`` rows. Windows are partitioned by ``(run_id, cell)``, so no task ever holds a run.
 
-* Where the cuts are. Rows whose hash of (run, time, seq) falls into a fixed residue class are the
-  *marks* of a run, ``marks_per_cell`` to a cell; every ``marks_per_cell``-th mark opens a cell.
+* Where the cuts are. Rows whose hash falls into a fixed residue class are the *marks* of a run,
+  ``marks_per_cell`` to a cell; every ``marks_per_cell``-th mark opens a cell.
   Marks follow the data, however unevenly it lies in time, and depend on nothing but row content,
   so a retried task or a second scan finds the same ones.
 * What a cell needs from earlier ones. Frames reach ``lookback`` rows back. A mark is a row, so
@@ -13,7 +13,8 @@
   rows. They are sent to the following cell too, feed the frames there and are dropped again.
   That is a share of about ``lookback / marks_per_cell`` more rows of long runs to shuffle.
 * What is broadcast. Two keys per cell of a long run: at most ``rows / hot_rows`` such runs and
-  about ``rows / cell_rows`` cells (some 12 MB for 10^12 rows).
+  about ``rows / cell_rows`` cells (some 25 MB for 10^12 rows).
+* What is not split: rows that agree in every column the operator uses.
 
 Everything is lazy. When no run is long there are no cuts, and adaptive execution drops the join:
 one scan, one exchange, one sort and one window remain, after a count of the run column.
@@ -72,6 +73,8 @@ class RunCells:
         self.df = df
         self.lookback = lookback
         self.order = tuple(order)
+        # Rows that agree in time and counter are told apart by their readings.
+        self.ties = [c for c in df.columns if c not in (RUN, *order)]
         self.size = size
         self.cuts = self._find_cuts(df if counted is None else counted)
 
@@ -88,9 +91,8 @@ class RunCells:
         return Window.partitionBy(RUN, CELL)
 
     def window(self) -> WindowSpec:
-        """Time order inside a cell, ties settled by the remaining columns."""
-        ties = [c for c in self.df.columns if c not in (RUN, *self.order)]
-        names = (*self.order, *ties)
+        """Time order inside a cell, ties settled by the readings."""
+        names = (*self.order, *self.ties)
         return self.whole_cell().orderBy(*[F.col(n).asc_nulls_last() for n in names])
 
     def with_columns(
@@ -125,8 +127,9 @@ class RunCells:
             .selectExpr(f"{RUN} AS {_LONG_RUN}")
         )
         spacing = max(size.cell_rows // size.marks_per_cell, 1)
+        row = ", ".join((RUN, *self.order, *self.ties))
         marks = (
-            self.df.where(f"pmod(xxhash64({RUN}, {', '.join(self.order)}), {spacing}) = 0")
+            self.df.where(f"pmod(xxhash64({row}), {spacing}) = 0")
             .join(F.broadcast(long_runs), _same_run())
             .selectExpr(_LONG_RUN, self._key())
             .distinct()
@@ -155,12 +158,13 @@ class RunCells:
         )
 
     def _key(self) -> str:
-        """Sort key of a row as a struct of longs, NULLs last."""
-        longs = [
+        """Sort key of a row as a struct that compares as the window's order does, NULLs last."""
+        fields = [
             f"coalesce({f'unix_micros({c})' if c == TIME else f'bigint({c})'}, {2**63 - 1}) AS {c}"
             for c in self.order
         ]
-        return f"struct({', '.join(longs)}) AS {_KEY}"
+        fields += [f"{c} IS NULL AS {c}_missing, {c}" for c in self.ties]
+        return f"struct({', '.join(fields)}) AS {_KEY}"
 
     def _placed(self, how: str) -> DataFrame:
         cuts_passed = (

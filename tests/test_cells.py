@@ -135,6 +135,16 @@ def test_cells_are_small_consecutive_stretches(spark):
     assert cells.all_rows().count() == cells.long_rows().count() == 3000
 
 
+def test_stuck_clock_and_counter_are_cut_by_the_readings(spark):
+    readings = [{"t": None, "seq": 5, "depth_m": float(i * 7 % 2000)} for i in range(2000)]
+    df = samples(spark, A=readings)
+    cells = RunCells(df.select("run_id", *BY_TIME, "depth_m"), size=CellSize(100, 40, 10))
+    rows = sorted(cells.all_rows().collect(), key=lambda r: r.depth_m)
+    numbers = [r[CELL] for r in rows]
+    assert numbers == sorted(numbers)
+    assert max(numbers.count(n) for n in set(numbers)) < 40 * 3
+
+
 def test_short_runs_are_not_cut(skewed):
     cells = RunCells(skewed.select("run_id", *BY_TIME), size=CUT)
     long_runs = {r.run_id for r in cells.long_rows().select("run_id").distinct().collect()}
