@@ -13,11 +13,12 @@
   rows. They are sent to the following cell too, feed the frames there and are dropped again.
   That is a share of about ``lookback / marks_per_cell`` more rows of long runs to shuffle.
 * What is broadcast. Two keys per cell of a long run: at most ``rows / hot_rows`` such runs and
-  about ``rows / cell_rows`` cells (some 25 MB for 10^12 rows).
+  about ``rows / cell_rows`` cells (some 50 MB for 10^12 rows, all of them in long runs).
 * What is not split: rows that agree in every column the operator uses.
 
-Everything is lazy. When no run is long there are no cuts, and adaptive execution drops the join:
-one scan, one exchange, one sort and one window remain, after a count of the run column.
+Everything is lazy. When no run is long there are no cuts, and adaptive execution drops the joins
+and the branch for long runs: one scan, one exchange, one sort and one window remain, after a
+count of the run column.
 """
 
 from __future__ import annotations
@@ -47,9 +48,9 @@ BY_SEQ = (SEQ, TIME)
 class CellSize:
     """Row counts that steer the cutting of long runs; results do not depend on them."""
 
-    hot_rows: int = 12_000_000
-    cell_rows: int = 4_000_000
-    marks_per_cell: int = 128
+    hot_rows: int = 4_000_000
+    cell_rows: int = 2_000_000
+    marks_per_cell: int = 64
 
 
 DEFAULT_SIZE = CellSize()
@@ -80,11 +81,11 @@ class RunCells:
 
     def all_rows(self) -> DataFrame:
         """Every row with its cell; cell 0 throughout for runs that are not long."""
-        return self._placed("left").select(*self.df.columns, LONG, CELL)
+        return self._short_rows().unionByName(self.long_rows())
 
     def long_rows(self) -> DataFrame:
         """Rows of long runs only; an empty frame, known early, when there are none."""
-        return self._placed("inner").select(*self.df.columns, LONG, CELL)
+        return self._placed().select(*self.df.columns, LONG, CELL)
 
     def whole_cell(self) -> WindowSpec:
         """All rows of a cell; all rows of the run unless the run is long."""
@@ -105,16 +106,17 @@ class RunCells:
         ``columns`` gets the window and returns the columns to add. The result has one row per
         input row (of a long run, with ``only_long``), with ``_cell`` and ``_long`` kept.
         """
-        rows = self._placed("inner" if only_long else "left")
         # A complete cell has at least marks_per_cell rows, so this many cells suffice.
         reach = -(-self.lookback // self.size.marks_per_cell)
         in_tail = f"{_KEY} >= get({_TAILS}, {CELL})"
         if reach > 1:  # cells may be shorter than the frame: send them whole
-            in_tail = LONG
+            in_tail = "true"
         receivers = f"sequence({CELL}, {CELL} + if({in_tail}, {reach}, 0))"
-        sent = rows.selectExpr(
+        sent = self._placed().selectExpr(
             *self.df.columns, LONG, f"posexplode({receivers}) AS (_copy, {CELL})"
         )
+        if not only_long:
+            sent = self._short_rows().selectExpr("*", "0 AS _copy").unionByName(sent)
         added = columns(self.window())
         return sent.withColumns(added).where("_copy = 0").drop("_copy")
 
@@ -166,19 +168,21 @@ class RunCells:
         fields += [f"{c} IS NULL AS {c}_missing, {c}" for c in self.ties]
         return f"struct({', '.join(fields)}) AS {_KEY}"
 
-    def _placed(self, how: str) -> DataFrame:
+    def _short_rows(self) -> DataFrame:
+        return self.df.join(
+            F.broadcast(self.cuts), _same_run(), "left_anti"
+        ).selectExpr("*", f"false AS {LONG}", f"0 AS {CELL}")
+
+    def _placed(self) -> DataFrame:
+        """Rows of long runs with their cell, next to the sort key and the run's cuts."""
         cuts_passed = (
             f"aggregate({_STRIDES}, 0, (passed, stride) -> "
             f"if(get({_CUTS}, passed + stride - 1) <= {_KEY}, passed + stride, passed))"
         )
         return (
-            self.df.selectExpr("*", self._key())
-            .join(F.broadcast(self.cuts), _same_run(), how)
-            .selectExpr(
-                "*",
-                f"{_CUTS} IS NOT NULL AS {LONG}",
-                f"if({_CUTS} IS NOT NULL, {cuts_passed}, 0) AS {CELL}",
-            )
+            self.df.join(F.broadcast(self.cuts), _same_run())
+            .selectExpr("*", self._key(), f"true AS {LONG}")
+            .selectExpr("*", f"{cuts_passed} AS {CELL}")
         )
 
 
