@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundings.functions.columns import rate_per, seconds_between
-from soundings.plans.cells import DEFAULT_SIZE, LONG, CellSize, RunCells
+from soundings.plans.cells import DEFAULT_SIZE, CellSize, RunCells
 from soundings.schema import CURRENT, DEPTH, RUN, SEQ, TIME, VOLTAGE
 
 _RATE_COLUMNS = (RUN, TIME, SEQ, DEPTH, "delta_seconds", "vertical_rate_mps")
@@ -21,13 +21,13 @@ def _depth_cells(
     return RunCells(samples, counted=df, lookback=1, size=size)
 
 
-def _rates(cells: RunCells, only_long: bool = False) -> DataFrame:
+def _rates(cells: RunCells, runs: str = "all") -> DataFrame:
     steps = cells.with_columns(
         lambda w: {
             "_prev_depth": F.lag(DEPTH).over(w),
             "_prev_time": F.lag(TIME).over(w),
         },
-        only_long,
+        runs,
     )
     elapsed = seconds_between(F.col(TIME), F.col("_prev_time"))
     change = F.col(DEPTH) - F.col("_prev_depth")
@@ -59,23 +59,21 @@ def depth_run_summary(
     """Depth statistics per run and the seconds spent at ``bottom_fraction`` of the deepest sample.
 
     The deepest sample of an ordinary run comes from a window over its only cell. A long run has
-    several cells, so its maximum is aggregated beforehand; one row per long run is broadcast.
+    several cells, so its maximum is aggregated first, from the same shuffled rows; one row per
+    long run is broadcast.
     """
     cells = _depth_cells(df, drop_nulls, size)
-    rates = (
-        _rates(cells)
-        .withColumn("_cell_max", F.max(DEPTH).over(cells.whole_cell()))
-        .join(
-            F.broadcast(_deepest_of_long_runs(cells)),
-            F.col(RUN).eqNullSafe(F.col("_deep_run")),
-            "left",
-        )
+    short = _rates(cells, "short").withColumn(
+        "_deepest", F.max(DEPTH).over(cells.whole_cell())
     )
-    deepest = F.when(F.col(LONG), F.col("_run_max")).otherwise(F.col("_cell_max"))
+    long = _rates(cells, "long")
+    maxima = long.groupBy(F.col(RUN).alias("_run")).agg(F.max(DEPTH).alias("_deepest"))
+    long = long.join(F.broadcast(maxima), F.col(RUN).eqNullSafe(F.col("_run"))).drop("_run")
+    rates = short.unionByName(long)
     rate = F.col("vertical_rate_mps")
     # A sample without run id equals no run, hence has no maximum to compare with.
     at_bottom = F.col(RUN).isNotNull() & (
-        F.col(DEPTH) >= F.lit(bottom_fraction) * deepest
+        F.col(DEPTH) >= F.lit(bottom_fraction) * F.col("_deepest")
     )
     return rates.groupBy(RUN).agg(
         F.max(DEPTH).alias("max_depth_m"),
@@ -86,14 +84,6 @@ def depth_run_summary(
     )
 
 
-def _deepest_of_long_runs(cells: RunCells) -> DataFrame:
-    return (
-        _rates(cells, only_long=True)
-        .groupBy(F.col(RUN).alias("_deep_run"))
-        .agg(F.max(DEPTH).alias("_run_max"))
-    )
-
-
 def _phase(surface_m: float, rate_mps: float):
     rate = F.col("vertical_rate_mps")
     return (

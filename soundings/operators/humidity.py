@@ -92,14 +92,13 @@ def humidity_breach_streaks(
     run can go on in a neighbouring cell; those, two rows per cell, are joined up per run.
     """
     cells = RunCells(humidity_clean(df), counted=df, size=size)
-    inner = (~F.col(LONG)) | (
-        (F.col("_stretch") > 0) & (F.col("_stretch") < F.col("_breaks"))
-    )
-    closed = _stretches(cells, cells.all_rows(), threshold).where(inner)
-    open_ended = _stretches(cells, cells.long_rows(), threshold).where(~inner)
+    in_short_runs = _stretches(cells, cells.short_rows(), threshold)
+    in_long_runs = _stretches(cells, cells.long_rows(), threshold)
+    inner = (F.col("_stretch") > 0) & (F.col("_stretch") < F.col("_breaks"))
     return (
-        closed.select(RUN, *_STRETCH)
-        .unionByName(_joined_up(open_ended))
+        in_short_runs.unionByName(in_long_runs.where(inner))
+        .select(RUN, *_STRETCH)
+        .unionByName(_joined_up(in_long_runs.where(~inner)))
         .where(F.col("consecutive_samples") >= max(consecutive, 1))
         .select(
             RUN,

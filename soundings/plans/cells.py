@@ -81,7 +81,13 @@ class RunCells:
 
     def all_rows(self) -> DataFrame:
         """Every row with its cell; cell 0 throughout for runs that are not long."""
-        return self._short_rows().unionByName(self.long_rows())
+        return self.short_rows().unionByName(self.long_rows())
+
+    def short_rows(self) -> DataFrame:
+        """Rows of runs that are not long, each run being one cell."""
+        return self.df.join(
+            F.broadcast(self.cuts), _same_run(), "left_anti"
+        ).selectExpr("*", f"false AS {LONG}", f"0 AS {CELL}")
 
     def long_rows(self) -> DataFrame:
         """Rows of long runs only; an empty frame, known early, when there are none."""
@@ -97,28 +103,35 @@ class RunCells:
         return self.whole_cell().orderBy(*[F.col(n).asc_nulls_last() for n in names])
 
     def with_columns(
-        self,
-        columns: Callable[[WindowSpec], dict[str, Column]],
-        only_long: bool = False,
+        self, columns: Callable[[WindowSpec], dict[str, Column]], runs: str = "all"
     ) -> DataFrame:
         """Add window columns whose frames reach at most ``lookback`` rows back.
 
         ``columns`` gets the window and returns the columns to add. The result has one row per
-        input row (of a long run, with ``only_long``), with ``_cell`` and ``_long`` kept.
+        input row of the "all", "short" or "long" runs, with ``_cell`` and ``_long`` kept.
         """
+        sent = {
+            "short": self._short_sent,
+            "long": self._long_sent,
+            "all": lambda: self._short_sent().unionByName(self._long_sent()),
+        }[runs]()
+        added = columns(self.window())
+        return sent.withColumns(added).where("_copy = 0").drop("_copy")
+
+    def _short_sent(self) -> DataFrame:
+        return self.short_rows().selectExpr("*", "0 AS _copy")
+
+    def _long_sent(self) -> DataFrame:
+        """Rows of long runs with the cells to go to, their own first."""
         # A complete cell has at least marks_per_cell rows, so this many cells suffice.
         reach = -(-self.lookback // self.size.marks_per_cell)
         in_tail = f"{_KEY} >= get({_TAILS}, {CELL})"
         if reach > 1:  # cells may be shorter than the frame: send them whole
             in_tail = "true"
         receivers = f"sequence({CELL}, {CELL} + if({in_tail}, {reach}, 0))"
-        sent = self._placed().selectExpr(
+        return self._placed().selectExpr(
             *self.df.columns, LONG, f"posexplode({receivers}) AS (_copy, {CELL})"
         )
-        if not only_long:
-            sent = self._short_rows().selectExpr("*", "0 AS _copy").unionByName(sent)
-        added = columns(self.window())
-        return sent.withColumns(added).where("_copy = 0").drop("_copy")
 
     def _find_cuts(self, counted: DataFrame) -> DataFrame:
         size = self.size
@@ -168,11 +181,6 @@ class RunCells:
         fields += [f"{c} IS NULL AS {c}_missing, {c}" for c in self.ties]
         return f"struct({', '.join(fields)}) AS {_KEY}"
 
-    def _short_rows(self) -> DataFrame:
-        return self.df.join(
-            F.broadcast(self.cuts), _same_run(), "left_anti"
-        ).selectExpr("*", f"false AS {LONG}", f"0 AS {CELL}")
-
     def _placed(self) -> DataFrame:
         """Rows of long runs with their cell, next to the sort key and the run's cuts."""
         cuts_passed = (
