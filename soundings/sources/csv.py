@@ -62,7 +62,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 def _missing_to_null(name: str) -> Column:
     value = F.col(f"`{name}`")
-    return F.when(~F.trim(value).isin(*MISSING_SPELLINGS), value)
+    return F.when(~value.isin(*MISSING_SPELLINGS), value)
 
 
 def parse_time(text: Column) -> Column:

@@ -153,7 +153,7 @@ def test_many_run_files_form_one_table(spark, tmp_path):
 
 
 def test_source_column_is_carried(spark):
-    df = samples(spark, A=[depth(0, 1.0)]).selectExpr("*", "'jetson' AS source", "1 AS extra")
+    df = samples(spark, A=[depth(0, 1.0)]).selectExpr("*", "'logger' AS source", "1 AS extra")
     assert canonical(df).columns == [f.name for f in SENSOR_SCHEMA] + ["source"]
 
 
