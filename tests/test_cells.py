@@ -149,3 +149,13 @@ def test_short_runs_are_not_cut(skewed):
     cells = RunCells(skewed.select("run_id", *BY_TIME), size=CUT)
     long_runs = {r.run_id for r in cells.long_rows().select("run_id").distinct().collect()}
     assert long_runs == {"hot", "stuck", None}
+
+
+@pytest.mark.parametrize("operator", [s.energy_per_run, s.humidity_breach_streaks])
+def test_results_do_not_rest_on_adaptive_execution(spark, skewed, operator):
+    expected = _rows(operator(skewed))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _rows(operator(skewed)) == _rows(operator(skewed, size=CUT)) == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
