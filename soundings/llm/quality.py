@@ -137,7 +137,7 @@ def fit_quality(
             total += z.T @ np.column_stack([z, batch["y"].to_numpy()])
         yield pd.DataFrame({"line": np.arange(len(total)), "sums": list(total)})
 
-    def added(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def added(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"line": [key[0]], "sums": [np.sum(rows["sums"].tolist(), axis=0)]})
 
     kind = "line long, sums array<double>"

@@ -100,7 +100,7 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learns the lexicon, the exception phrases and the calibration.
 
-    A term is the beginning of a word, 3 to 8 letters long, or a whole word. Its weight is the
+    A term is the beginning of a word, 4 to 8 letters long, or a whole word. Its weight is the
     lower end of its log odds ratio between toxic and other documents. Of the labelled rows at
     most `most_labelled` are used, of the terms the best `most_terms` are kept; these bounds also
     bound what reaches the driver. Without labels of both kinds nothing is learned and every
@@ -128,7 +128,7 @@ def fit_toxicity(
     )
     lexicon: dict[str, float] = {}
     for term, weight in best:
-        if not any(term[:k] in lexicon for k in range(3, len(term))):
+        if not any(term[:k] in lexicon for k in range(4, len(term))):
             lexicon[term] = weight
     model = ToxicityModel(lexicon)
     phrases = (
@@ -154,7 +154,7 @@ def fit_toxicity(
 def _terms_of(text: str) -> set[str]:
     words = set(folded(text).split())
     terms = {word + " " for word in words if len(word) > 2}
-    for size in range(3, 9):
+    for size in range(4, 9):
         terms.update(word[:size] for word in words if len(word) >= size)
     return terms
 
