@@ -14,6 +14,12 @@ from soundings.schema import ACCEL_AXES, DEFAULT_ID_COLUMNS, SENSOR_SCHEMA
 from soundings.sources.events import read_events_as_sensor_data
 from soundings.sources.workspace import shared_dir
 
+try:
+    import corpus_pipeline
+    from soundings.llm import queries as corpus
+except ImportError:
+    corpus_pipeline = corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -82,7 +88,10 @@ def queries() -> dict[str, Query]:
         "dive_plan_profile": _dive_plan_profile,
     }
     result = {name: _on_sensor_data(operator) for name, operator in plain.items()}
-    return result | {name: _tidied(query) for name, query in with_session.items()}
+    result |= {name: _tidied(query) for name, query in with_session.items()}
+    if corpus is not None:
+        result |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return result
 
 
 def _on_sensor_data(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -532,7 +541,8 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
         "refresh_outputs": (_energy(_BATTERY_KNOWN), energy),
         "dive_plan_profile": (_PLAN_TICKS, ["run_id", "~t_s", "~depth_m"]),
     }
-    return {
+    corpus_sql = {} if corpus is None else corpus.ORACLE_SQL
+    return corpus_sql | {
         name: f"WITH sensor_data AS ({_SENSOR_DATA}), steps AS ({_PLAN_STEPS}), "
         f"result AS ({sql})\nSELECT {', '.join(map(_final, columns))} FROM result"
         for name, (sql, columns) in bodies.items()
