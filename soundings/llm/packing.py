@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import os
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 
 from soundings.llm.common import staged, whole_text
 
-_WORDS_REMEMBERED = 200_000
+_WORDS_REMEMBERED = 300_000
 _TEXTS_AT_ONCE = 256
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -33,15 +36,24 @@ class _WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
 
+    @staticmethod
+    def of_worker(path: str) -> _WordIds:
+        """The one this Python worker made for an earlier task, if there was one."""
+        held = sys.modules.setdefault("_soundings_tokenizers", types.ModuleType("held"))
+        if path not in vars(held):
+            vars(held)[path] = _WordIds(path)
+        return vars(held)[path]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
+        words = set().union(*split)
         if len(self._known) > _WORDS_REMEMBERED:
-            self._known.clear()
-        new = list(set().union(*split).difference(self._known))
+            self._known = {w: self._known[w] for w in words if w in self._known}
+        new = list(words.difference(self._known))
         for word, encoded in zip(
-            new, self._tokenizer.encode_batch(new, add_special_tokens=False), strict=True
+            new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
         ):
-            self._known[word] = np.array(encoded.ids, "<u4").tobytes()
+            self._known[word] = array("I", encoded.ids).tobytes()
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
 
@@ -52,7 +64,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _WordIds(tokenizer)
+        words = _WordIds.of_worker(tokenizer)
         for batch in batches:
             rows = []
             for at in range(0, len(batch), _TEXTS_AT_ONCE):
