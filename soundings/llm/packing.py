@@ -19,14 +19,17 @@ from soundings.llm.common import staged, whole_text
 
 _WORDS_REMEMBERED = 300_000
 _TEXTS_AT_ONCE = 256
+_MARKS = (".", ",", ";", ":", "!", "?")
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class _WordIds:
-    """Token ids of texts as little-endian bytes, word by word.
+    """Token ids of texts as little-endian bytes.
 
-    The tokenizer never joins what a space or a line feed separates, so the ids of a text are
-    those of its words in turn. Words seen are remembered, up to a fixed number.
+    A tokenizer that folds case, never joins what white space or a mark after a letter separates,
+    and ends every word with a token of its own kind, as a probe tells, works word by word: ids
+    of words seen are remembered, up to a fixed number, and new words of letters are encoded many
+    at a time. Any other tokenizer gets the whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -35,6 +38,15 @@ class _WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        probe = [self._ids(x) for x in ("Ab Cd,\nef", "ab", "cd", ",", "ef")]
+        apart = probe[0] == sum(probe[1:], [])
+        self._by_word = apart and self._ends[probe[0]].sum() == 4
+
+    def _ids(self, text: str) -> list[int]:
+        return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     @staticmethod
     def of_worker(path: str) -> _WordIds:
@@ -45,16 +57,47 @@ class _WordIds:
         return vars(held)[path]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        if not self._by_word:
+            found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in found]
+        # Bytes fold the case of ASCII letters only.
+        folded = [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") for t in texts]
+        split = [t.replace("\n", " ").split(" ") for t in folded]
         words = set().union(*split)
         if len(self._known) > _WORDS_REMEMBERED:
             self._known = {w: self._known[w] for w in words if w in self._known}
-        new = list(words.difference(self._known))
+        self._learn(words.difference(self._known))
+        return [b"".join(map(self._known.__getitem__, words)) for words in split]
+
+    def _learn(self, words: set[str]) -> None:
+        known = self._known
+        marked, plain, other = [], set(), set()
+        for word in words:
+            base = word[:-1] if word[-1:] in _MARKS else word
+            if base.isascii() and base.isalpha():
+                if base not in known:
+                    plain.add(base)
+                if base is not word:
+                    marked.append((word, base, word[-1]))
+            else:
+                other.add(word)
+        other.update({mark for _, _, mark in marked}.difference(known))
+        order = list(plain)
+        ids = np.array(self._ids(" ".join(order)), "<u4")
+        ends = (np.flatnonzero(self._ends[ids]) + 1) * 4 if len(ids) else []
+        if len(ends) != len(order):
+            raise ValueError("a word of letters must end in one end token")
+        data, start = ids.tobytes(), 0
+        for word, end in zip(order, map(int, ends), strict=True):
+            known[word] = data[start:end]
+            start = end
+        rest = list(other)
         for word, encoded in zip(
-            new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
+            rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True
         ):
-            self._known[word] = array("I", encoded.ids).tobytes()
-        return [b"".join(map(self._known.__getitem__, words)) for words in split]
+            known[word] = array("I", encoded.ids).tobytes()
+        for word, base, mark in marked:
+            known[word] = known[base] + known[mark]
 
 
 def token_pieces(
