@@ -26,6 +26,8 @@ def bands_and_rows(threshold: float, recall: float, most: int = 160) -> tuple[in
     """
     best = (most, 1)
     for rows in range(1, most + 1):
+        if threshold**rows < 1e-9:
+            break
         miss = math.log(1 - threshold**rows) if threshold < 1 else -math.inf
         bands = max(1, math.ceil(math.log(1 - recall) / miss))
         if bands * rows <= most:
@@ -61,9 +63,7 @@ def shingles(text: str, n: int, hashes: dict) -> np.ndarray:
     return np.unique(total)
 
 
-def signatures(
-    docs: DataFrame, n: int, bands: int, rows: int
-) -> DataFrame:
+def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """doc_id, key of the text, and its band values; texts without words have none."""
     rng = np.random.default_rng(20240229)
     odd = rng.integers(0, 2**63, (bands * rows, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -189,6 +189,8 @@ def _tally(sample: DataFrame, terms_of: Callable[[str], set[str]]) -> DataFrame:
                 for text, y in zip(part["text"], part["y"], strict=True):
                     tallies[int(y)].update(terms_of(text))
                 terms = list(tallies[0].keys() | tallies[1].keys())
+                if not terms:
+                    continue
                 yield pd.DataFrame({
                     "term": terms,
                     "yes": [tallies[1][t] for t in terms],
