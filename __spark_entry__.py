@@ -13,6 +13,7 @@ from soundings.functions.columns import ntz_from_instant, round_scaled
 from soundings.schema import ACCEL_AXES, DEFAULT_ID_COLUMNS, SENSOR_SCHEMA
 from soundings.sources.events import read_events_as_sensor_data
 from soundings.sources.workspace import shared_dir
+from soundings.streaming.refresh import compact_outputs
 
 try:
     import corpus_pipeline
@@ -52,6 +53,7 @@ def queries() -> dict[str, Query]:
         "run_phase_segments": s.run_phase_segments,
         "phase_summary": s.phase_summary,
         "accel_zscores": s.accel_zscores,
+        "accel_zscores_wide": lambda df: s.accel_zscores(df, window=600),
         "motion_anomalies": s.motion_anomalies,
         "motion_anomalies_unfiltered": lambda df: s.motion_anomalies(
             df, drop_nulls=False
@@ -60,6 +62,9 @@ def queries() -> dict[str, Query]:
             s.motion_anomalies(df), "anomaly_count"
         ),
         "motion_zscore_summary": s.motion_zscore_summary,
+        "motion_zscore_summary_exact": lambda df: s.motion_zscore_summary(
+            df, exact=True
+        ),
         "humidity_clean": s.humidity_clean,
         "humidity_summary": s.humidity_summary,
         "humidity_breach_streaks": s.humidity_breach_streaks,
@@ -71,6 +76,9 @@ def queries() -> dict[str, Query]:
             s.humidity_rapid_rise(df), "rapid_rise_count"
         ),
         "humidity_rolling_elevation": s.humidity_rolling_elevation,
+        "humidity_rolling_elevation_wide": lambda df: s.humidity_rolling_elevation(
+            df, window=600
+        ),
         "seq_gaps": s.seq_gaps,
         "drop_all_null_rows": _drop_all_null_rows,
     }
@@ -78,7 +86,9 @@ def queries() -> dict[str, Query]:
         "timestamp_disorder": _timestamp_disorder,
         "parse_time_columns": _parse_time_columns,
         "ingest_csv": _ingest_csv,
+        "ingest_csv_dirty": _ingest_csv_dirty,
         "convert_csv_raw": _convert_csv_raw,
+        "split_csv": _split_csv,
         "read_sensor_data": _read_sensor_data,
         "split_by_column": _split_by_column,
         "split_by_groups": _split_by_groups,
@@ -156,6 +166,43 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def _ingest_csv_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large counters, an identifier with leading zeros, a time that is none, short lines."""
+    path = shared_dir(spark, "dirty")
+    samples = _with_text_times(read_events_as_sensor_data(spark, sf_dir))
+    lines = samples.select(
+        F.concat_ws(
+            ",",
+            (F.col("seq") + F.lit(3_000_000_000)).cast("string"),
+            F.lpad(F.pmod("seq", F.lit(9)).cast("string"), 3, "0"),
+            "run_id",
+            F.when(F.col("seq") % 5 != 0, F.concat(F.lit('"at, '), "timestamp_utc", F.lit('"'))),
+        )
+    )
+    header = spark.range(1).select(F.lit("seq,source,run_id,seen_time"))
+    header.union(lines).coalesce(1).write.text(path)
+    out = s.ingest_csv(spark, path, shared_dir(spark, "ingested"))
+    return spark.read.parquet(out)
+
+
+def _split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From CSV into groups by a JSON file of members, and one more by a JSON file of keywords."""
+    path, config = _write_csv(spark, sf_dir), shared_dir(spark, "config")
+    members = '{"electric": ["battery_voltage_v", "battery_current_a"]}'
+    for name, text in (("members", members), ("words", '{"deep": ["DEPTH"]}')):
+        spark.range(1).select(F.lit(text)).write.text(f"{config}/{name}")
+    out = shared_dir(spark, "split")
+    (electric,) = s.split_csv(
+        spark, path, f"{out}/a", mode="group", groups=f"{config}/members/*.txt"
+    )
+    (deep,) = s.split_csv(
+        spark, path, f"{out}/b", mode="group", keywords=f"{config}/words/*.txt"
+    )
+    return spark.read.parquet(electric).unionByName(
+        spark.read.parquet(deep), allowMissingColumns=True
+    )
+
+
 def _convert_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = s.convert_csv_raw(spark, _write_csv(spark, sf_dir), shared_dir(spark, "raw"))
     return spark.read.parquet(out)
@@ -209,15 +256,19 @@ def _register_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refresh_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every run arrives in two files; the second refresh has to renew what the first stored."""
+    """Every run arrives in three files, one of them late and after the checkpoint was lost.
+
+    All operators are refreshed; then the results are compacted and one of them is read.
+    """
     samples = read_events_as_sensor_data(spark, sf_dir)
     arrived, out = shared_dir(spark, "arrived"), shared_dir(spark, "results")
     checkpoint = shared_dir(spark, "progress")
-    for part in (0, 1):
-        samples.where(F.col("seq") % 2 == part).write.mode("append").parquet(arrived)
-        s.refresh_outputs(
-            spark, arrived, out, checkpoint, {"energy_per_run": s.energy_per_run}
-        )
+    for part in (0, 2, 1):
+        if part == 1:
+            checkpoint = shared_dir(spark, "progress")
+        samples.where(F.col("seq") % 3 == part).write.mode("append").parquet(arrived)
+        s.refresh_outputs(spark, arrived, out, checkpoint)
+    compact_outputs(spark, out)
     return s.read_output(spark, out, "energy_per_run")
 
 
@@ -462,12 +513,18 @@ FROM ({_PHASES}) GROUP BY run_id, phase""",
             + ["~avg_current_a", "~avg_voltage_v", "~energy_wh"],
         ),
         "accel_zscores": (_ZSCORES, scores),
+        "accel_zscores_wide": (_wide(_ZSCORES), scores),
         "motion_anomalies": (_ANOMALIES, scores),
         "motion_anomalies_unfiltered": (
             f"SELECT * FROM ({_zscores('TRUE')}) WHERE abs(z_score) >= 3",
             scores,
         ),
         "motion_anomaly_counts": counts(_ANOMALIES, "anomaly_count"),
+        "motion_zscore_summary_exact": (
+            _ZSCORE_SUMMARY,
+            ["run_id", "rows_seen", "~max_abs_z_score", "~avg_abs_z_score"]
+            + ["~p95_abs_z_score", "~p99_abs_z_score"],
+        ),
         "motion_zscore_summary": (
             _ZSCORE_SUMMARY,
             ["run_id", "rows_seen", "~max_abs_z_score", "~avg_abs_z_score"]
@@ -501,6 +558,10 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
             _ELEVATION,
             ["run_id", "samples_elevated", "~peak_rolling_avg", "~mean_rolling_avg"],
         ),
+        "humidity_rolling_elevation_wide": (
+            _wide(_ELEVATION),
+            ["run_id", "samples_elevated", "~peak_rolling_avg", "~mean_rolling_avg"],
+        ),
         "seq_gaps": (_GAPS, ["run_id", "prev_seq", "seq", "missing"]),
         "drop_all_null_rows": (any_imu, [_IDS, *imu]),
         "timestamp_disorder": (
@@ -513,6 +574,20 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
             [_IDS],
         ),
         "ingest_csv": (everything, all_columns),
+        "ingest_csv_dirty": (
+            "SELECT seq + 3000000000 AS seq, lpad(CAST(seq % 9 AS VARCHAR), 3, '0') AS source,"
+            " run_id, CASE WHEN seq % 5 <> 0 THEN 'at, ' ||"
+            " strftime(timestamp_utc, '%Y-%m-%dT%H:%M:%S.%gZ') END AS seen_time"
+            " FROM sensor_data",
+            ["seq", "source", "run_id", "seen_time"],
+        ),
+        "split_csv": (
+            f"SELECT {_IDS}, battery_voltage_v, battery_current_a, NULL::DOUBLE AS depth_m"
+            " FROM sensor_data WHERE battery_voltage_v IS NOT NULL OR battery_current_a IS NOT NULL"
+            f" UNION ALL SELECT {_IDS}, NULL, NULL, depth_m FROM sensor_data"
+            " WHERE depth_m IS NOT NULL",
+            [_IDS, *battery, "~depth_m"],
+        ),
         "convert_csv_raw": (
             "SELECT * REPLACE (strftime(timestamp_utc, '%Y-%m-%dT%H:%M:%S.%gZ')"
             " AS timestamp_utc) FROM sensor_data",
@@ -549,6 +624,10 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
     }
 
 
+def _wide(sql: str) -> str:
+    return sql.replace("10 PRECEDING", "600 PRECEDING")
+
+
 def _final(column: str) -> str:
     if not column.startswith("~"):
         return column

@@ -63,9 +63,20 @@ def motion_zscore_summary(
     window: int = 10,
     accuracy: int = 10_000,
     size: CellSize = DEFAULT_SIZE,
+    exact: bool = False,
 ) -> DataFrame:
-    """Absolute z-scores per run. The percentiles are sketches, merged after partial aggregation."""
+    """Absolute z-scores per run. The percentiles are sketches, merged after partial aggregation.
+
+    With ``exact`` they are the smallest scores that the wanted share of a run does not exceed. That
+    takes one count of each distinct score, so use it where runs are not too long for a task.
+    """
     abs_z = F.abs("z_score")
+    if exact:
+        tail = F.array(
+            *[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY abs(z_score))") for p in (0.95, 0.99)]
+        )
+    else:
+        tail = F.percentile_approx(abs_z, [0.95, 0.99], accuracy)
     return (
         accel_zscores(df, window, size=size)
         .groupBy(RUN)
@@ -73,7 +84,7 @@ def motion_zscore_summary(
             F.count(F.lit(1)).alias("rows_seen"),
             F.max(abs_z).alias("max_abs_z_score"),
             F.avg(abs_z).alias("avg_abs_z_score"),
-            F.percentile_approx(abs_z, [0.95, 0.99], accuracy).alias("_tail"),
+            tail.alias("_tail"),
         )
         .select(
             RUN,

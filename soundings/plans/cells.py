@@ -11,7 +11,8 @@
 * What a cell needs from earlier ones. Frames reach ``lookback`` rows back. A mark is a row, so
   the rows from the ``lookback``-th last mark of a cell onwards include its last ``lookback``
   rows. They are sent to the following cell too, feed the frames there and are dropped again.
-  That is a share of about ``lookback / marks_per_cell`` more rows of long runs to shuffle.
+  Wide frames get more marks, ``marks_per_lookback`` for each row they reach back, and longer cells
+  where a cell has no room for these marks: at any width about a tenth more rows are sent.
 * What is broadcast. Two keys per cell of a long run: at most ``rows / hot_rows`` such runs and
   about ``rows / cell_rows`` cells (some 50 MB for 10^12 rows, all of them in long runs).
 * What is not split: rows that agree in every column the operator uses.
@@ -24,7 +25,7 @@ count of the run column.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -51,6 +52,12 @@ class CellSize:
     hot_rows: int = 4_000_000
     cell_rows: int = 2_000_000
     marks_per_cell: int = 64
+    marks_per_lookback: int = 10
+
+    def for_frames(self, lookback: int) -> CellSize:
+        """With marks enough that the tail of a cell stays a small share of it."""
+        marks = max(self.marks_per_cell, self.marks_per_lookback * lookback)
+        return replace(self, marks_per_cell=marks, cell_rows=max(self.cell_rows, marks))
 
 
 DEFAULT_SIZE = CellSize()
@@ -76,7 +83,7 @@ class RunCells:
         self.order = tuple(order)
         # Rows that agree in time and counter are told apart by their readings.
         self.ties = [c for c in df.columns if c not in (RUN, *order)]
-        self.size = size
+        self.size = size.for_frames(lookback)
         self.cuts = self._find_cuts(df if counted is None else counted)
 
     def all_rows(self) -> DataFrame:
@@ -122,13 +129,13 @@ class RunCells:
         return self.short_rows().selectExpr("*", "0 AS _copy")
 
     def _long_sent(self) -> DataFrame:
-        """Rows of long runs with the cells to go to, their own first."""
-        # A complete cell has at least marks_per_cell rows, so this many cells suffice.
-        reach = -(-self.lookback // self.size.marks_per_cell)
-        in_tail = f"{_KEY} >= get({_TAILS}, {CELL})"
-        if reach > 1:  # cells may be shorter than the frame: send them whole
-            in_tail = "true"
-        receivers = f"sequence({CELL}, {CELL} + if({in_tail}, {reach}, 0))"
+        """Rows of long runs with the cells to go to, their own first.
+
+        A complete cell has more marks, and so more rows, than a frame reaches back: no row is
+        needed beyond the following cell.
+        """
+        in_tail = f"{self.lookback} > 0 AND {_KEY} >= get({_TAILS}, {CELL})"
+        receivers = f"sequence({CELL}, {CELL} + if({in_tail}, 1, 0))"
         return self._placed().selectExpr(
             *self.df.columns, LONG, f"posexplode({receivers}) AS (_copy, {CELL})"
         )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from soundings.functions.columns import any_present, instant_from_ntz
 from soundings.schema import DEFAULT_ID_COLUMNS, RUN, SENSOR_SCHEMA
@@ -33,6 +34,7 @@ MISSING_SPELLINGS = (
     "null",
 )
 
+_BROKEN = "_broken_line"
 _CANONICAL_TYPES = {f.name: f.dataType.simpleString() for f in SENSOR_SCHEMA}
 
 
@@ -54,10 +56,21 @@ def is_time_column(name: str) -> bool:
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file, or a directory of files with one header, as text with missing values as NULL.
 
-    Files whose header differs are refused rather than read by position.
+    Files whose header differs are refused rather than read by position, and so is, when it is
+    met, a line with more fields than the header. A line with fewer has NULL in the rest.
     """
-    text = spark.read.csv(path, header=True, enforceSchema=False)
-    return text.select(*[_missing_to_null(name).alias(name) for name in text.columns])
+    names = spark.read.csv(path, header=True).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BROKEN)])
+    text = spark.read.csv(
+        path, schema, header=True, enforceSchema=False, columnNameOfCorruptRecord=_BROKEN
+    )
+    unquoted = F.regexp_replace(_BROKEN, r'"(?:[^"\\]|\\.|"")*"', "")
+    surplus = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) >= len(names)
+    # Spark reads a broken line only beside a field of it.
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    told = F.concat_ws(" ", F.lit("more fields than the header has, from"), first, _BROKEN)
+    sound = F.when(surplus, F.raise_error(told).cast("boolean")).otherwise(True)
+    return text.where(sound).select(*[_missing_to_null(name).alias(name) for name in names])
 
 
 def _missing_to_null(name: str) -> Column:
@@ -84,23 +97,34 @@ def parse_time_columns(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return df.withColumns({c: parse_time(F.col(c)) for c in times})
 
 
-def type_signals(df: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Give text columns their type: the canonical one, else the narrowest that all values fit."""
-    open_cols = [
-        c
-        for c in df.columns
-        if c not in _CANONICAL_TYPES and not (c in ids and is_time_column(c))
-    ]
-    types = _CANONICAL_TYPES | _narrowest_types(df, open_cols)
+def type_signals(
+    df: DataFrame, ids: Sequence[str], types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Give text columns their type; no number is cut or rounded for it.
+
+    Canonical columns get theirs, a canonical integer a wider one if a value needs it: bigint, or
+    double for fractions. Identifiers without a canonical type and canonical times stay text, and
+    other columns get the narrowest type that all values fit. ``types`` fixes the types of the
+    columns it names; if it names all that the values would decide, they are not read for it.
+    """
+    fixed = {n: t for n, t in _CANONICAL_TYPES.items() if t != "int" and not is_time_column(n)}
+    fixed |= dict.fromkeys(ids, "string") | (types or {})
+    fixed |= {n: "string" for n in _CANONICAL_TYPES if is_time_column(n)}
+    integers = [n for n, t in _CANONICAL_TYPES.items() if t == "int"]
+    for name in integers:
+        if name not in (types or {}):
+            fixed.pop(name, None)
+    open_cols = [c for c in df.columns if c not in fixed]
+    chosen = fixed | _narrowest_types(df, open_cols, integers)
     text = dict(df.dtypes)
 
     def typed(name: str) -> Column:
         value = F.col(f"`{name}`")
-        wanted = types.get(name, "string")
-        if text[name] != "string" or wanted == "string" or is_time_column(name) and name in ids:
+        wanted = chosen[name]
+        if text[name] != "string" or wanted == "string":
             return value
-        if wanted == "int":  # pandas may have written whole numbers as 3.0
-            return value.try_cast("double").try_cast("int").alias(name)
+        if wanted in ("int", "bigint"):
+            return _whole(value).try_cast(wanted).alias(name)
         if wanted == "double":
             number = value.try_cast("double")
             return F.when(~F.isnan(number), number).alias(name)
@@ -109,26 +133,44 @@ def type_signals(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return df.select(*[typed(name) for name in df.columns])
 
 
-def _narrowest_types(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
-    """One aggregate over the named columns; its single row says which type fits each of them."""
-    candidates = ("bigint", "double", "boolean")
+def _whole(value: Column) -> Column:
+    """A whole number, which pandas may have written as 3.0; NULL for all else."""
+    number = value.try_cast("double")
+    floats = F.when(number == F.floor(number), value.try_cast("decimal(38,6)").try_cast("bigint"))
+    return F.coalesce(value.try_cast("bigint"), floats)
+
+
+def _narrowest_types(
+    df: DataFrame, names: Sequence[str], integers: Sequence[str]
+) -> dict[str, str]:
+    """One aggregate over the named columns; its single row says which type fits each of them.
+
+    Values of ``integers`` that are no numbers do not count.
+    """
+    candidates = ("int", "bigint", "double", "boolean")
     if not names:
         return {}
 
     def misfits(name: str, wanted: str) -> Column:
         value = F.col(f"`{name}`")
-        return F.coalesce(
-            F.bool_or(value.isNotNull() & value.try_cast(wanted).isNull()), F.lit(False)
-        ).alias(f"{wanted}:{name}")
+        counts = value.isNotNull()
+        if name in integers:
+            counts = value.try_cast("double").isNotNull()
+            fits = _whole(value).try_cast(wanted) if wanted != "double" else value.try_cast(wanted)
+        else:
+            fits = value.try_cast(wanted)
+        return F.coalesce(F.bool_or(counts & fits.isNull()), F.lit(False)).alias(f"{wanted}:{name}")
 
     seen = [F.bool_or(F.col(f"`{n}`").isNotNull()).alias(f"seen:{n}") for n in names]
     row = df.agg(*[misfits(n, t) for n in names for t in candidates], *seen).first()
-    return {
-        name: next((t for t in candidates if not row[f"{t}:{name}"]), "string")
-        if row[f"seen:{name}"]
-        else "double"
-        for name in names
-    }
+
+    def narrowest(name: str) -> str:
+        if not row[f"seen:{name}"]:
+            return "int" if name in integers else "double"
+        allowed = candidates if name in integers else candidates[1:]
+        return next((t for t in allowed if not row[f"{t}:{name}"]), "string")
+
+    return {name: narrowest(name) for name in names}
 
 
 def drop_all_null_rows(df: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -143,11 +185,12 @@ def read_sensor_csv(
     id_cols: Sequence[str] = DEFAULT_ID_COLUMNS,
     parse_times: bool = True,
     drop_empty_rows: bool = False,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A wide CSV log with its column order kept and every column typed."""
     text = read_csv_text(spark, path)
     ids = id_columns(text.columns, id_cols)
-    df = type_signals(text, ids)
+    df = type_signals(text, ids, types)
     if parse_times:
         df = parse_time_columns(df, ids)
     return drop_all_null_rows(df, ids) if drop_empty_rows else df

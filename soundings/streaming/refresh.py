@@ -3,13 +3,16 @@
 Results are stored per refresh, in ``<out>/<operator>/batch=<n>``, next to the list of runs the
 refresh computed, in ``<out>/refreshed/batch=<n>``. The newest refresh of a run holds all there is
 to say about it, which may be that it has no events any more. A refresh writes few large files
-however many runs it touches, and repeating one after a failure replaces its own files only.
+however many runs it touches. Its number follows from what is stored, not from the checkpoint: one
+that failed is repeated under the same number, and after a lost checkpoint numbers go on.
+:func:`compact_outputs` stores all current results as one refresh; older ones are not read again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +21,9 @@ from soundings.sources.catalog import VIEWS
 from soundings.sources.tables import canonical, stored_schema
 
 _BATCH = "batch"
+_TOUCHED = "touched"
 _REFRESHED = "refreshed"
-
-# Up to this many touched runs are named in the filter itself, which reaches the Parquet scan.
-_NAMED_RUNS = 1000
+_COMPACTED = "compacted"
 
 
 def refresh_outputs(
@@ -39,15 +41,17 @@ def refresh_outputs(
     schema = stored_schema(spark, in_dir)
 
     def refresh(new_samples: DataFrame, batch_id: int) -> None:
-        touched = new_samples.select(RUN).distinct()
-        table = canonical(
-            new_samples.sparkSession.read.schema(schema).parquet(in_dir)
-        )
-        samples = _samples_of(table, touched)
+        session = new_samples.sparkSession
+        number = _newest(session, out_dir, _REFRESHED) + 1
+        # Stored first, so that no operator works out the list again.
+        touched = _store(new_samples.select(RUN).distinct(), out_dir, _TOUCHED, number)
+        table = canonical(session.read.schema(schema).parquet(in_dir))
+        runs = touched.withColumnRenamed(RUN, "_touched")
+        samples = table.join(runs, F.col(RUN).eqNullSafe(F.col("_touched")), "left_semi")
         for name, operator in operators.items():
-            _store(operator(samples), out_dir, name, batch_id)
+            _store(operator(samples), out_dir, name, number)
         # Last, so that a refresh counts only once all its results are there.
-        _store(touched, out_dir, _REFRESHED, batch_id)
+        _store(touched, out_dir, _REFRESHED, number)
 
     query = (
         spark.readStream.schema(schema)
@@ -62,31 +66,53 @@ def refresh_outputs(
 
 def read_output(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """The current result of an operator: for each run, the rows of its newest refresh."""
+    return _current(spark, out_dir, name, _newest(spark, out_dir, _COMPACTED))
+
+
+def compact_outputs(
+    spark: SparkSession, out_dir: str, names: Iterable[str] = tuple(VIEWS)
+) -> None:
+    """Store the current results of ``names`` as one refresh, where reading begins from now on.
+
+    Name all the operators refreshed into ``out_dir``. Not to run beside a refresh.
+    """
+    since = _newest(spark, out_dir, _COMPACTED)
+    number = _newest(spark, out_dir, _REFRESHED) + 1
+    for name in names:
+        _store(_current(spark, out_dir, name, since), out_dir, name, number)
+    runs = spark.read.parquet(_path(out_dir, _REFRESHED)).where(F.col(_BATCH) >= since)
+    _store(runs.select(RUN).distinct(), out_dir, _REFRESHED, number)
+    _store(spark.range(1), out_dir, _COMPACTED, number)
+
+
+def _current(spark: SparkSession, out_dir: str, name: str, since: int) -> DataFrame:
+    recent = F.col(_BATCH) >= since
     newest = (
         spark.read.parquet(_path(out_dir, _REFRESHED))
+        .where(recent)
         .groupBy(F.col(RUN).alias("_run"))
         .agg(F.max(_BATCH).alias("_newest"))
     )
-    results = spark.read.parquet(_path(out_dir, name))
+    results = spark.read.parquet(_path(out_dir, name)).where(recent)
     current = F.col(RUN).eqNullSafe(F.col("_run")) & (F.col(_BATCH) == F.col("_newest"))
     return results.join(newest, current, "left_semi").drop(_BATCH)
 
 
-def _samples_of(table: DataFrame, touched: DataFrame) -> DataFrame:
-    few = touched.limit(_NAMED_RUNS + 1).collect()
-    if len(few) > _NAMED_RUNS:
-        runs = touched.withColumnRenamed(RUN, "_touched")
-        return table.join(runs, F.col(RUN).eqNullSafe(F.col("_touched")), "left_semi")
-    named = F.col(RUN).isin([row[0] for row in few if row[0] is not None])
-    if any(row[0] is None for row in few):
-        named = named | F.col(RUN).isNull()
-    return table.where(named)
+def _newest(spark: SparkSession, out_dir: str, name: str) -> int:
+    """The largest number stored under ``name``; 0 where nothing is."""
+    try:
+        stored = spark.read.parquet(_path(out_dir, name))
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
+    return stored.agg(F.max(_BATCH)).first()[0] or 0
 
 
-def _store(result: DataFrame, out_dir: str, name: str, batch_id: int) -> None:
-    result.write.mode("overwrite").parquet(
-        f"{_path(out_dir, name)}/{_BATCH}={batch_id}"
-    )
+def _store(result: DataFrame, out_dir: str, name: str, number: int) -> DataFrame:
+    path = f"{_path(out_dir, name)}/{_BATCH}={number}"
+    result.write.mode("overwrite").parquet(path)
+    return result.sparkSession.read.schema(result.schema).parquet(path)
 
 
 def _path(out_dir: str, name: str) -> str:

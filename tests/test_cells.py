@@ -112,19 +112,28 @@ def test_z_scores_stay_within_their_bound(skewed):
 @pytest.mark.parametrize("per_cell", [1, 3, 8])
 def test_frames_reach_back_over_cells(spark, lookback, per_cell):
     df = samples(spark, A=[{"t": i, "depth_m": float(i)} for i in range(200)])
-    marked = CellSize(hot_rows=10, cell_rows=2 * per_cell, marks_per_cell=per_cell)
+    marked = CellSize(10, 2 * per_cell, per_cell, marks_per_lookback=1)
     keys = df.select("run_id", *BY_TIME, "depth_m")
     cells = RunCells(keys, lookback=lookback, size=marked)
     rows = cells.with_columns(
         lambda w: {"before": F.sum("depth_m").over(w.rowsBetween(-lookback, -1))}
     ).collect()
     assert len(rows) == 200
-    assert len({r[CELL] for r in rows}) > 50 / per_cell
+    assert len({r[CELL] for r in rows}) >= 50 / max(per_cell, lookback)
     for r in rows:
         expected = sum(range(max(0, r.seq - lookback), r.seq)) if r.seq else None
         assert r.before == expected
 
 
+@pytest.mark.parametrize("lookback", [10, 65, 600])
+def test_few_rows_are_sent_twice(spark, lookback):
+    df = samples(spark, A=[{"t": i, "depth_m": float(i)} for i in range(30_000)])
+    keys = df.select("run_id", *BY_TIME, "depth_m")
+    cells = RunCells(keys, lookback=lookback, size=CellSize(hot_rows=100, cell_rows=2000))
+    assert cells.long_rows().select(CELL).distinct().count() > 3
+    assert 30_000 < cells._long_sent().count() < 1.15 * 30_000
+
+
 def test_cells_are_small_consecutive_stretches(spark):
     df = samples(spark, A=[{"t": (i // 50) ** 3} for i in range(3000)])
     cells = RunCells(df.select("run_id", *BY_TIME), size=CellSize(100, 40, 10))

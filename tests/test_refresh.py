@@ -14,6 +14,9 @@ def store(spark, tmp_path):
     arrived, out = str(tmp_path / "in"), str(tmp_path / "out")
 
     class Store:
+        def __init__(self):
+            self.out, self.checkpoint = out, str(tmp_path / "progress")
+
         def arrive(self, **runs):
             samples(spark, **runs).write.mode("append").parquet(arrived)
 
@@ -22,7 +25,7 @@ def store(spark, tmp_path):
                 "energy_per_run": s.energy_per_run,
                 "voltage_sag_step": s.voltage_sag_step,
             }
-            s.refresh_outputs(spark, arrived, out, str(tmp_path / "progress"), operators)
+            s.refresh_outputs(spark, arrived, out, self.checkpoint, operators)
 
         def stored(self, name):
             return sorted(map(tuple, s.read_output(spark, out, name).collect()), key=repr)
@@ -67,10 +70,33 @@ def test_failed_refresh_is_repeated(store):
     assert store.stored("energy_per_run") == store.expected("energy_per_run")
 
 
-def test_more_runs_than_are_named_in_the_filter(store, monkeypatch):
-    monkeypatch.setattr(refresh, "_NAMED_RUNS", 2)
+def test_many_runs_and_runs_without_name(store):
     runs = {f"r{n}": [battery(0, 16.0, 1.0), battery(1, 16.0, float(n))] for n in range(5)}
     store.arrive(none=[battery(t, 1.0, 1.0) | {"run_id": None} for t in range(3)], **runs)
     store.refresh({"energy_per_run": s.energy_per_run})
     assert len(store.stored("energy_per_run")) == 6
     assert store.stored("energy_per_run") == store.expected("energy_per_run")
+
+
+def test_compaction_keeps_results_and_later_refreshes_win(spark, store):
+    only = {"energy_per_run": s.energy_per_run}
+    store.arrive(A=[battery(0, 16.0, 1.0)], B=[battery(0, 8.0, 2.0), battery(1, 8.0, 2.0)])
+    store.refresh(only)
+    store.arrive(A=[battery(1, 16.0, 1.0)])
+    store.refresh(only)
+    refresh.compact_outputs(spark, store.out, only)
+    assert store.stored("energy_per_run") == store.expected("energy_per_run")
+    store.arrive(A=[battery(2, 16.0, 3.0)])
+    store.refresh(only)
+    assert store.stored("energy_per_run") == store.expected("energy_per_run")
+
+
+def test_lost_checkpoint_does_not_bring_old_results_back(store):
+    only = {"energy_per_run": s.energy_per_run}
+    for t in range(3):
+        store.arrive(A=[battery(t, 16.0, 1.0)])
+        store.refresh(only)
+    store.checkpoint += "-new"
+    store.arrive(A=[battery(3, 16.0, 5.0)])
+    store.refresh(only)
+    assert store.stored("energy_per_run") == store.expected("energy_per_run")

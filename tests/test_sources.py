@@ -204,6 +204,33 @@ def test_split_refuses_colliding_names_and_missing_ids(spark, sparse, tmp_path):
         s.split_by_column(sparse.select("depth_m"), str(tmp_path))
 
 
+def test_no_number_is_cut_and_other_times_stay_text(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text("seq,source,log_time,timestamp_utc\n3000000000,007,2026-01-01 00:00:00,x\n7.0,8\n")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        found = s.read_sensor_csv(spark, str(path), id_cols=["source", "seq"])
+        rows = [tuple(r) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert rows[0][:2] == (3000000000, "007") and rows[0][3] == "x"
+    assert rows[1] == (7, "8", None, None)
+    path.write_text("seq,run_id\n3.7,a\njunk,b\n5,c\n")
+    assert [r.seq for r in s.read_sensor_csv(spark, str(path)).collect()] == [3.7, None, 5.0]
+    named = s.read_sensor_csv(spark, str(path), types={"seq": "string"})
+    assert [r.seq for r in named.collect()] == ["3.7", "junk", "5"]
+
+
+def test_surplus_fields_are_refused(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text('seq,run_id,note\n1,a,"x,y"\n2,b\n')
+    assert read_csv_text(spark, str(path)).count() == 2
+    path.write_text('seq,run_id,note\n1,a,"x,y",EXTRA\n')
+    with pytest.raises(Exception, match="more fields"):
+        read_csv_text(spark, str(path)).collect()
+
+
 def test_split_csv(spark, log, tmp_path):
     config = tmp_path / "groups.json"
     config.write_text(json.dumps({"electric": ["battery_voltage_v"]}))
@@ -216,7 +243,7 @@ def test_split_csv(spark, log, tmp_path):
     assert len(s.split_csv(spark, log, str(tmp_path / "c"))) == 6
     with pytest.raises(ValueError, match="mode"):
         s.split_csv(spark, log, str(tmp_path / "x"), mode="row")
-    with pytest.raises(ValueError, match="group mode"):
+    with pytest.raises(ValueError, match="members or keywords"):
         s.split_csv(spark, log, str(tmp_path / "x"), mode="group")
 
 
