@@ -11,8 +11,12 @@ from soundings.llm.common import staged, text_key, whole_text
 _BUCKETS = 16_384
 #: Up to this many lines to verify, their keys are broadcast; beyond it they are joined.
 _BROADCAST_LINES = 1_000_000
+#: Lines with more words have a second sketch of so many longs, as 64 bits tell them little.
+_SHORT_LINE = 64
+_WIDE = 4
 _ID = ["rank", "at"]
 _KEY = ["h1", "h2"]
+_MET = ["rank", "at", "n", "pos", "parity"]
 
 
 def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -27,7 +31,8 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     share one of the first words in that order. Each line is first compared with the earliest line
     of each of its first words, and only lines that match none of these with all earlier ones, so
     that groups of copies make no list of pairs. Pairs pass a length, a positional and a parity
-    filter before their word sets are compared. Lines are told apart by 128 bits of hashes.
+    filter, with more bits for longer lines, before their word sets are compared. Lines are told
+    apart by 128 bits of hashes.
 
     Returns rank (order of documents), doc_id, text_key, n_lines and removed (line numbers).
     """
@@ -39,14 +44,13 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     first = classes.select(
         *_ID, "n", "parity", F.posexplode("prefix").alias("pos", "word")
     )
-    leaders = first.groupBy("word").agg(
-        F.min(F.struct("rank", "at", "n", "pos", "parity")).alias("other")
-    )
-    met = first.join(leaders, "word").filter(_may_match("other.", threshold))
+    leaders = first.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
+    leaders = leaders.select("word", *[F.col(f"other.{c}").alias(f"other_{c}") for c in _MET])
+    met = first.join(leaders, "word").filter(_may_match(threshold))
     resolved = staged(_verified(docs, classes, met, threshold), "line-led")
     rest = first.join(resolved, _ID, "left_anti")
-    earlier = first.select("word", F.struct("rank", "at", "n", "pos", "parity").alias("other"))
-    met = rest.join(earlier, "word").filter(_may_match("other.", threshold))
+    earlier = first.select("word", *[F.col(c).alias(f"other_{c}") for c in _MET])
+    met = rest.join(earlier, "word").filter(_may_match(threshold))
     more = staged(_verified(docs, classes, met, threshold), "line-met")
     similar = resolved.union(more).withColumn("similar", F.lit(True))
     told = classes.join(similar, _ID, "left").select(
@@ -119,67 +123,88 @@ def _in_order(docs: DataFrame) -> DataFrame:
 
 def _rarity(docs: DataFrame) -> Column:
     """For each bucket of words, how often its words occur, as 64 times the binary logarithm."""
-    words = docs.select(F.explode(F.split(whole_text(), "[ \n]+")).alias("word"))
-    counts = words.groupBy(_bucket(F.col("word")).alias("bucket")).count().collect()
+    words = docs.select(F.explode(F.split(F.translate(whole_text(), "\n", " "), " ")).alias("word"))
+    counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count().collect()
     table = [0] * _BUCKETS
     for bucket, count in counts:
         table[bucket] = min(4095, int(count).bit_length() * 64 + (64 * count >> int(count).bit_length()))
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(_BUCKETS)).cast("int")
+def _bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
 
 
 def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column) -> DataFrame:
-    """Distinct lines with words: first place, number of words, prefix in order of rarity, parity.
+    """Distinct lines with words: first place, number of words, prefix in order of rarity, sketches.
 
     A line of n words can only match one that has a word in common with its first
     n - ceil(threshold * n) + 1. The parity sketch has bit b set if an odd number of its words
-    fall on b, so two sketches differ in no more bits than the sets in words.
+    fall on b, so two sketches differ in no more bits than the sets in words. The wide one of
+    longer lines has the same property with four times the bits.
     """
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
+    texts = texts.filter(F.trim("text") != "")
     texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text").dropDuplicates(_KEY)
     firsts = lines.groupBy(*_KEY).agg(F.min(F.struct(*_ID)).alias("first"))
-    rank = lambda word: F.shiftleft(
-        F.element_at(rarity, _bucket(word) + 1).cast("long"), 50
-    ).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(3), word), 14))
-    words = F.sort_array(F.array_distinct(F.transform(_words("text"), rank)))
+    rank = lambda hashed: F.shiftleft(
+        F.element_at(rarity, _bucket(hashed) + 1).cast("long"), 50
+    ).bitwiseOR(F.shiftrightunsigned(hashed, 14))
+    hashes = F.transform(_words("text"), lambda word: F.xxhash64(word))
+    words = F.sort_array(F.transform(F.array_distinct(hashes), rank))
     n = F.size("words")
     reach = n - F.ceil(n * threshold - 1e-9) + 1
-    parity = F.aggregate(
-        "words",
-        F.lit(0).cast("long"),
-        lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(word, F.lit(64)).cast("int"))),
-    )
+    wide = F.array(*[_parity(of_wide=k) for k in range(_WIDE)])
     return (
         texts.select(*_KEY, words.alias("words"))
-        .filter("size(words) > 0")
         .join(firsts, _KEY)
         .select(
-            *_KEY, "first.rank", "first.at", n.alias("n"), parity.alias("parity"),
+            *_KEY, "first.rank", "first.at", n.alias("n"),
+            _parity().alias("parity"), F.when(n > _SHORT_LINE, wide).alias("wide"),
             F.slice("words", F.lit(1), reach.cast("int")).alias("prefix"),
         )
     )
 
 
+def _digit(word: Column, shift: int, of: int) -> Column:
+    return F.shiftright(word, shift).bitwiseAND(F.lit(of - 1)).cast("int")
+
+
+def _parity(of_wide: int | None = None) -> Column:
+    """64 bits: whether an odd number of words fall on each; of one part of the wide sketch."""
+    words = F.col("words")
+    if of_wide is not None:
+        words = F.filter(words, lambda word: _digit(word, 6, _WIDE) == of_wide)
+    one = F.lit(1).cast("long")
+    flip = lambda bits, word: bits.bitwiseXOR(
+        F.call_function("shiftleft", one, _digit(word, 0, 64))
+    )
+    return F.aggregate(words, F.lit(0).cast("long"), flip)
+
+
 def _words(text: str) -> Column:
-    return F.filter(F.split(text, " "), lambda word: word != "")
+    return F.array_remove(F.split(text, " "), "")
+
+
+def _needed(both: Column, threshold: float) -> Column:
+    """How many common words two sets with `both` words in sum must have."""
+    return F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
 
 
-def _may_match(other: str, threshold: float) -> Column:
-    """Length, positional and parity filter for a pair met at a common word."""
-    both = F.col("n") + F.col(other + "n")
-    needed = F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
-    before = F.least("pos", F.col(other + "pos"))
-    after = F.least(F.col("n") - F.col("pos"), F.col(other + "n") - F.col(other + "pos"))
-    differing = F.bit_count(F.col("parity").bitwiseXOR(F.col(other + "parity")))
-    earlier = F.struct(F.col(other + "rank"), F.col(other + "at")) < F.struct(*_ID)
+def _may_match(threshold: float) -> Column:
+    """Parity, length and positional filter for a pair met at a common word."""
+    both = F.col("n") + F.col("other_n")
+    needed = _needed(both, threshold)
+    before = F.least("pos", "other_pos")
+    after = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
+    differing = F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity")))
+    same = F.col("other_rank") == F.col("rank")
+    earlier = (F.col("other_rank") < F.col("rank")) | (same & (F.col("other_at") < F.col("at")))
     return (
-        earlier
-        & (F.least("n", F.col(other + "n")) >= F.greatest("n", F.col(other + "n")) * threshold - 1e-9)
+        (differing <= both - 2 * needed)
         & (before + after >= needed)
-        & (differing <= both - 2 * needed)
+        & (F.least("n", "other_n") >= F.greatest("n", "other_n") * threshold - 1e-9)
+        & earlier
     )
 
 
@@ -187,27 +212,38 @@ def _verified(
     docs: DataFrame, classes: DataFrame, met: DataFrame, threshold: float
 ) -> DataFrame:
     """(rank, at) of the lines in `met` whose word sets really are similar to the other's."""
-    pairs = staged(
-        met.select(*_ID, F.col("other.rank").alias("r2"), F.col("other.at").alias("a2")).distinct(),
+    pairs = met.select(*_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2"))
+    line = classes.select(*_ID, *_KEY, "n", "wide")
+    other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2", "n n2", "wide wide2")
+    differing = sum(
+        F.bit_count(F.col("wide")[k].bitwiseXOR(F.col("wide2")[k])) for k in range(_WIDE)
+    )
+    both = F.col("n") + F.col("n2")
+    near = staged(
+        pairs.distinct()
+        .join(line, _ID)
+        .join(other, ["r2", "a2"])
+        # A short line has no wide sketch and passes.
+        .filter(F.coalesce(differing <= both - 2 * _needed(both, threshold), F.lit(True)))
+        .select(*_ID, *_KEY, "k1", "k2"),
         "line-pairs",
     )
-    ids = pairs.select(*_ID).union(pairs.select("r2", "a2")).distinct()
-    wanted = staged(classes.select(*_ID, *_KEY).join(ids, _ID), "line-wanted")
+    wanted = staged(near.select(*_KEY).union(near.select("k1", "k2")).distinct(), "line-wanted")
     if wanted.count() <= _BROADCAST_LINES:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
     texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text").join(wanted, _KEY)
-    words = texts.dropDuplicates(_ID).select(
-        *_ID, F.array_distinct(_words("text")).alias("words")
+    words = texts.dropDuplicates(_KEY).select(
+        *_KEY, F.array_distinct(_words("text")).alias("words")
     )
-    other = words.select(
-        F.col("rank").alias("r2"), F.col("at").alias("a2"), F.col("words").alias("others")
+    others = words.select(
+        F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("words").alias("others")
     )
     common = F.size(F.array_intersect("words", "others"))
     union = F.size("words") + F.size("others") - common
     return (
-        pairs.join(words, _ID)
-        .join(other, ["r2", "a2"])
+        near.join(words, _KEY)
+        .join(others, ["k1", "k2"])
         .filter(common >= threshold * union - 1e-9)
         .select(*_ID)
         .distinct()
