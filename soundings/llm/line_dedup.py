@@ -29,7 +29,7 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     Words are ordered by rarity, told from counts in a fixed number of hash buckets; similar lines
     share one of the first words in that order. Each line is first compared with the earliest line
-    of each of its first words, and only lines that match none of these with all earlier ones, so
+    of each word in the front half of these, and only lines that match none of these with all earlier ones, so
     that groups of copies make no list of pairs. Pairs pass a length, a positional and a parity
     filter, with more bits for longer lines, before their word sets are compared. Lines are told
     apart by 128 bits of hashes.
@@ -41,12 +41,13 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         "rank", "at", "line.h1", "line.h2"
     )
     classes = staged(_classes(docs, lines, threshold, _rarity(docs)), "line-classes")
-    first = classes.select(
-        *_ID, "n", "parity", F.posexplode("prefix").alias("pos", "word")
+    first = _by_word(classes, F.col("prefix"))
+    front = _by_word(
+        classes, F.slice("prefix", F.lit(1), F.ceil(F.size("prefix") / 2).cast("int"))
     )
-    leaders = first.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
+    leaders = front.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
     leaders = leaders.select("word", *[F.col(f"other.{c}").alias(f"other_{c}") for c in _MET])
-    met = first.join(leaders, "word").filter(_may_match(threshold))
+    met = front.join(leaders, "word").filter(_may_match(threshold))
     resolved = staged(_verified(docs, classes, met, threshold), "line-led")
     rest = first.join(resolved, _ID, "left_anti")
     earlier = first.select("word", *[F.col(c).alias(f"other_{c}") for c in _MET])
@@ -121,6 +122,13 @@ def _in_order(docs: DataFrame) -> DataFrame:
     return ordered.withColumn("rank", F.monotonically_increasing_id()).drop("none")
 
 
+def _by_word(classes: DataFrame, prefix: Column) -> DataFrame:
+    """A row per line and word of `prefix`; words are met by 40 bits, which can only add pairs."""
+    return classes.select(
+        *_ID, "n", "parity", F.posexplode(prefix).alias("pos", "ranked")
+    ).select(*_MET, F.col("ranked").bitwiseAND(F.lit((1 << 40) - 1)).alias("word"))
+
+
 def _rarity(docs: DataFrame) -> Column:
     """For each bucket of words, how often its words occur, as 64 times the binary logarithm."""
     words = docs.select(F.explode(F.split(F.translate(whole_text(), "\n", " "), " ")).alias("word"))
@@ -145,7 +153,7 @@ def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column
     """
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
     texts = texts.filter(F.trim("text") != "")
-    texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text").dropDuplicates(_KEY)
+    texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text")
     firsts = lines.groupBy(*_KEY).agg(F.min(F.struct(*_ID)).alias("first"))
     rank = lambda hashed: F.shiftleft(
         F.element_at(rarity, _bucket(hashed) + 1).cast("long"), 50
@@ -155,14 +163,16 @@ def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column
     n = F.size("words")
     reach = n - F.ceil(n * threshold - 1e-9) + 1
     wide = F.array(*[_parity(of_wide=k) for k in range(_WIDE)])
-    return (
-        texts.select(*_KEY, words.alias("words"))
-        .join(firsts, _KEY)
-        .select(
-            *_KEY, "first.rank", "first.at", n.alias("n"),
-            _parity().alias("parity"), F.when(n > _SHORT_LINE, wide).alias("wide"),
-            F.slice("words", F.lit(1), reach.cast("int")).alias("prefix"),
-        )
+    # Sketches and prefixes are shuffled, not texts: they are smaller.
+    told = texts.select(*_KEY, words.alias("words")).select(
+        *_KEY,
+        n.alias("n"),
+        _parity().alias("parity"),
+        F.when(n > _SHORT_LINE, wide).alias("wide"),
+        F.slice("words", F.lit(1), reach.cast("int")).alias("prefix"),
+    )
+    return told.dropDuplicates(_KEY).join(firsts, _KEY).select(
+        *_KEY, "first.rank", "first.at", "n", "parity", "wide", "prefix"
     )
 
 
@@ -220,12 +230,12 @@ def _verified(
     )
     both = F.col("n") + F.col("n2")
     near = staged(
-        pairs.distinct()
-        .join(line, _ID)
+        pairs.join(line, _ID)
         .join(other, ["r2", "a2"])
         # A short line has no wide sketch and passes.
         .filter(F.coalesce(differing <= both - 2 * _needed(both, threshold), F.lit(True)))
-        .select(*_ID, *_KEY, "k1", "k2"),
+        .select(*_ID, *_KEY, "k1", "k2")
+        .distinct(),
         "line-pairs",
     )
     wanted = staged(near.select(*_KEY).union(near.select("k1", "k2")).distinct(), "line-wanted")
