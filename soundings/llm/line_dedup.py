@@ -223,6 +223,7 @@ def _verified(
 ) -> DataFrame:
     """(rank, at) of the lines in `met` whose word sets really are similar to the other's."""
     pairs = met.select(*_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2"))
+    pairs = staged(pairs, "line-met-pairs")
     line = classes.select(*_ID, *_KEY, "n", "wide")
     other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2", "n n2", "wide wide2")
     differing = sum(
