@@ -74,8 +74,8 @@ class ToxicityModel:
             else:
                 found[start] = max(found.get(start, 0.0), weight)
         for start, end in spared:
-            for at in [at for at in found if start <= at < end]:
-                del found[at]
+            for at in range(start, end):
+                found.pop(at, None)
         return found
 
     def features(self, text: str, matcher) -> tuple[float, float]:
@@ -168,11 +168,13 @@ def _phrases_of(model: ToxicityModel) -> Callable[[str], set[str]]:
         text = folded(text)
         found = set()
         for at in model.hits(text, matcher[0]):
-            before, after = text[:at].rsplit(" ", 1)[-1], text[at + 1 :].split(" ", 2)
+            before = text[text.rfind(" ", 0, at) + 1 : at]
+            end = text.index(" ", at + 1)
+            word, after = text[at + 1 : end], text[end + 1 : text.find(" ", end + 1)]
             if before:
-                found.add(f"{before} {after[0]}")
-            if len(after) > 1 and after[1]:
-                found.add(f"{after[0]} {after[1]}")
+                found.add(f"{before} {word}")
+            if after:
+                found.add(f"{word} {after}")
         return found
 
     return phrases
