@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from soundings.sources.workspace import shared_dir
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back: fixed values, short lineage."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    # What was shuffled for the table is of no use once the table is there.
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def whole_text(column: str = "text") -> Column:
