@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soundings.llm import (
+    conversations,
     credentials,
     exact_dedup,
     graph_dedup,
@@ -16,7 +17,9 @@ from soundings.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
+    quality_rules,
     toxicity,
 )
 
@@ -31,7 +34,9 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_documents, _labels, _embeddings = map(_table, ("documents", "labels", "embeddings"))
+_documents, _labels, _embeddings, _conversations = map(
+    _table, ("documents", "labels", "embeddings", "conversations")
+)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +85,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), default_tokenizer())
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_conversations(spark, sf_dir))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge_quality(_documents(spark, sf_dir))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return judged.select("doc_id", *base, "kept", "quality", "votes")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = periodic_runs.with_repeated_tails(_documents(spark, sf_dir))
+    return periodic_runs.run_digest(periodic_runs.periodic_runs(damaged))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,6 +113,9 @@ QUERIES = {
         op8_exact_dedup,
         op9_embedding_dedup,
         op10_packing,
+        op11_conversation_repair,
+        op12_quality_rules,
+        op13_periodic_runs,
     )
 }
 
