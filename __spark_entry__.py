@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 import soundings as s
 from soundings.functions.columns import ntz_from_instant, round_scaled
 from soundings.schema import ACCEL_AXES, DEFAULT_ID_COLUMNS, SENSOR_SCHEMA
+from soundings.sources.catalog import VIEWS
 from soundings.sources.events import read_events_as_sensor_data
 from soundings.sources.workspace import shared_dir
 from soundings.streaming.refresh import compact_outputs
@@ -258,7 +260,8 @@ def _register_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _refresh_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run arrives in three files, one of them late and after the checkpoint was lost.
 
-    All operators are refreshed; then the results are compacted and one of them is read.
+    All operators are refreshed; then the results are compacted and all six are read, one row for
+    each of their numbers.
     """
     samples = read_events_as_sensor_data(spark, sf_dir)
     arrived, out = shared_dir(spark, "arrived"), shared_dir(spark, "results")
@@ -267,9 +270,29 @@ def _refresh_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         if part == 1:
             checkpoint = shared_dir(spark, "progress")
         samples.where(F.col("seq") % 3 == part).write.mode("append").parquet(arrived)
-        s.refresh_outputs(spark, arrived, out, checkpoint)
+        s.refresh_outputs(spark, arrived, out, checkpoint, buckets=16)
     compact_outputs(spark, out)
-    return s.read_output(spark, out, "energy_per_run")
+    return reduce(DataFrame.unionByName, [_numbers(s.read_output(spark, out, n), n) for n in VIEWS])
+
+
+def _numbers(result: DataFrame, name: str) -> DataFrame:
+    """(output, run_id, seq, label, measure, reading): a row for each number that is not NULL."""
+    measures = [f.name for f in result.schema if f.name not in ("run_id", "seq", "timestamp_utc", "phase")]
+    long = result.unpivot(
+        [c for c in ("run_id", "seq", "phase") if c in result.columns],
+        [F.col(c).cast("double").alias(c) for c in measures],
+        "measure",
+        "reading",
+    )
+    missing = {c: F.lit(None) for c in ("seq", "phase") if c not in result.columns}
+    return long.withColumns(missing).select(
+        F.lit(name).alias("output"),
+        "run_id",
+        F.col("seq").cast("int").alias("seq"),
+        F.col("phase").cast("string").alias("label"),
+        "measure",
+        "reading",
+    ).where("reading IS NOT NULL")
 
 
 def _dive_plan_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -613,9 +636,12 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
             f" USING (run_id) JOIN ({_ZSCORE_SUMMARY}) USING (run_id)",
             ["run_id", "~energy_wh", "~max_depth_m", "~max_abs_z_score"],
         ),
-        "refresh_outputs": (_energy(_BATTERY_KNOWN), energy),
         "dive_plan_profile": (_PLAN_TICKS, ["run_id", "~t_s", "~depth_m"]),
     }
+    bodies["refresh_outputs"] = (
+        " UNION ALL ".join(_long_form(name, *bodies[name]) for name in VIEWS),
+        ["output", "run_id", "seq", "label", "measure", "~reading"],
+    )
     corpus_sql = {} if corpus is None else corpus.ORACLE_SQL
     return corpus_sql | {
         name: f"WITH sensor_data AS ({_SENSOR_DATA}), steps AS ({_PLAN_STEPS}), "
@@ -624,6 +650,19 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
     }
 
 
+def _long_form(name: str, sql: str, columns: list[str]) -> str:
+    """A row for each number of a result that is not NULL."""
+    names = [c.lstrip("~") for part in columns for c in part.split(", ")]
+    seq = "seq" if "seq" in names else "NULL::INTEGER"
+    phase = "phase" if "phase" in names else "NULL::VARCHAR"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS output, run_id, {seq} AS seq, {phase} AS label, '{c}' AS measure,"
+        f" CAST({c} AS DOUBLE) AS reading FROM ({sql}) WHERE {c} IS NOT NULL"
+        for c in names
+        if c not in ("run_id", "timestamp_utc", "seq", "phase")
+    )
+
+
 def _wide(sql: str) -> str:
     return sql.replace("10 PRECEDING", "600 PRECEDING")
 

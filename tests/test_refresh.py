@@ -100,3 +100,49 @@ def test_lost_checkpoint_does_not_bring_old_results_back(store):
     store.arrive(A=[battery(3, 16.0, 5.0)])
     store.refresh(only)
     assert store.stored("energy_per_run") == store.expected("energy_per_run")
+
+
+def _files_read(df):
+    """What the scan of a plan without exchange says after it has run."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def test_refresh_reads_touched_buckets_only(spark, store, tmp_path):
+    """One late sample of one of 400 runs: about a hundredth of the files in 100 buckets."""
+    seen = []
+
+    def watched(samples):
+        seen.append(_files_read(samples.select("run_id", "depth_m")))
+        return s.energy_per_run(samples)
+
+    store.arrive(**{f"r{n}": [battery(t, 16.0, 1.0) for t in range(3)] for n in range(400)})
+    operators = {"energy_per_run": watched}
+    s.refresh_outputs(spark, str(tmp_path / "in"), store.out, store.checkpoint, operators, buckets=100)
+    store.arrive(r7=[battery(9, 16.0, 5.0) | {"seq": 9}])
+    store.refresh(operators)
+    assert seen[0] >= 90 and seen[1] == 2
+    assert store.stored("energy_per_run") == store.expected("energy_per_run")
+    one = s.read_samples(spark, store.out, "r7")
+    assert one.count() == 4 and _files_read(one) == 2
+    assert s.read_samples(spark, store.out).count() == 1201
+    refresh.compact_outputs(spark, store.out, operators)
+    assert _files_read(s.read_samples(spark, store.out, "r7")) == 1
+    assert s.read_samples(spark, store.out).count() == 1201
+    written = (tmp_path / "out" / "energy_per_run" / "batch=2").glob("bucket=*")
+    assert len(list(written)) == 1
+
+
+def test_files_are_taken_in_once(spark, store):
+    only = {"energy_per_run": s.energy_per_run}
+    store.arrive(A=[battery(0, 16.0, 1.0), battery(1, 16.0, 1.0)])
+    store.refresh(only)
+    for name in ("-b", "-c"):
+        store.checkpoint += name
+        store.refresh(only)
+    assert s.read_samples(spark, store.out).count() == 2
+    store.arrive(B=[battery(0, 16.0, 1.0)])
+    store.checkpoint += "-d"
+    store.refresh(only)
+    assert s.read_samples(spark, store.out).count() == 3
