@@ -335,12 +335,29 @@ _HUMIDITY_OK = "humidity_pct BETWEEN 0 AND 100"
 _SINCE_LAST = "(epoch_us(timestamp_utc) - lag(epoch_us(timestamp_utc)) OVER run) / 1e6"
 
 
+_UNIT = f"{2**80}::HUGEINT"
+
+
+def _units(value: str) -> str:
+    """The exact sum of doubles as a whole number of 2^-80."""
+    whole = f"trunc({value})"
+    return f"sum(CAST({whole} AS HUGEINT) * {_UNIT} + CAST(({value} - {whole}) * {2.0**80!r}::DOUBLE AS HUGEINT))"
+
+
+def _from_units(units: str) -> str:
+    part = f"((({units} % {_UNIT}) + {_UNIT}) % {_UNIT})"
+    upper, lower = f"({part} // {2**40})::DOUBLE", f"({part} % {2**40})::DOUBLE"
+    whole = f"(({units} - {part}) // {_UNIT})::DOUBLE"
+    return f"({whole} + ({upper} / {2.0**40!r}::DOUBLE + {lower} / {2.0**80!r}::DOUBLE))"
+
+
 def _energy(where: str = "TRUE") -> str:
     return f"""
-SELECT run_id, sum(watts * secs) / 3600 AS energy_wh
-FROM (SELECT run_id, battery_voltage_v * battery_current_a AS watts, {_SINCE_LAST} AS secs
-      FROM sensor_data WHERE {where} WINDOW run AS {_RUN_ORDER})
-WHERE secs IS NOT NULL GROUP BY run_id"""
+SELECT run_id, {_from_units("joules")} / 3600 AS energy_wh
+FROM (SELECT run_id, {_units("watts * secs")} AS joules
+      FROM (SELECT run_id, battery_voltage_v * battery_current_a AS watts, {_SINCE_LAST} AS secs
+            FROM sensor_data WHERE {where} WINDOW run AS {_RUN_ORDER})
+      WHERE secs IS NOT NULL GROUP BY run_id)"""
 
 
 def _rates(where: str) -> str:
@@ -528,10 +545,15 @@ def oracle_sql() -> dict[str, str]:
         "run_phase_segments": (_PHASES, [*rates, "phase"]),
         "phase_summary": (
             f"""
-SELECT run_id, phase, count(*) AS rows_seen, sum(delta_seconds) AS phase_seconds,
-       avg(battery_current_a) AS avg_current_a, avg(battery_voltage_v) AS avg_voltage_v,
-       sum(battery_voltage_v * battery_current_a * delta_seconds) / 3600 AS energy_wh
-FROM ({_PHASES}) GROUP BY run_id, phase""",
+SELECT run_id, phase, rows_seen, {_from_units("seconds")} AS phase_seconds,
+       {_from_units("amperes")} / currents AS avg_current_a,
+       {_from_units("volts")} / voltages AS avg_voltage_v,
+       {_from_units("joules")} / 3600 AS energy_wh
+FROM (SELECT run_id, phase, count(*) AS rows_seen, {_units("delta_seconds")} AS seconds,
+             {_units("battery_current_a")} AS amperes, count(battery_current_a) AS currents,
+             {_units("battery_voltage_v")} AS volts, count(battery_voltage_v) AS voltages,
+             {_units("battery_voltage_v * battery_current_a * delta_seconds")} AS joules
+      FROM ({_PHASES}) GROUP BY run_id, phase)""",
             ["run_id", "phase", "rows_seen", "~phase_seconds"]
             + ["~avg_current_a", "~avg_voltage_v", "~energy_wh"],
         ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soundings.functions.columns import rate_per, seconds_between
+from soundings.functions.columns import exact_avg, exact_sum, rate_per, seconds_between
 from soundings.plans.cells import DEFAULT_SIZE, CellSize, RunCells
 from soundings.schema import CURRENT, DEPTH, RUN, SEQ, TIME, VOLTAGE
 
@@ -77,10 +77,10 @@ def depth_run_summary(
     )
     return rates.groupBy(RUN).agg(
         F.max(DEPTH).alias("max_depth_m"),
-        F.avg(DEPTH).alias("avg_depth_m"),
-        F.avg(F.when(rate > 0, rate)).alias("avg_descent_rate_mps"),
-        F.avg(F.when(rate < 0, rate)).alias("avg_ascent_rate_mps"),
-        F.sum(F.when(at_bottom, F.col("delta_seconds"))).alias("time_at_depth_seconds"),
+        exact_avg(F.col(DEPTH)).alias("avg_depth_m"),
+        exact_avg(F.when(rate > 0, rate)).alias("avg_descent_rate_mps"),
+        exact_avg(F.when(rate < 0, rate)).alias("avg_ascent_rate_mps"),
+        exact_sum(F.when(at_bottom, F.col("delta_seconds"))).alias("time_at_depth_seconds"),
     )
 
 
@@ -123,10 +123,10 @@ def phase_summary(
         .groupBy(RUN, _phase(surface_m, rate_mps).alias("phase"))
         .agg(
             F.count(F.lit(1)).alias("rows_seen"),
-            F.sum("delta_seconds").alias("phase_seconds"),
-            F.avg(CURRENT).alias("avg_current_a"),
-            F.avg(VOLTAGE).alias("avg_voltage_v"),
-            (F.sum(joules) / 3600.0).alias("energy_wh"),
+            exact_sum(F.col("delta_seconds")).alias("phase_seconds"),
+            exact_avg(F.col(CURRENT)).alias("avg_current_a"),
+            exact_avg(F.col(VOLTAGE)).alias("avg_voltage_v"),
+            (exact_sum(joules) / 3600.0).alias("energy_wh"),
         )
     )
 

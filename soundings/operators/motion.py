@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soundings.functions.columns import accel_magnitude, all_present
+from soundings.functions.columns import accel_magnitude, all_present, exact_avg
 from soundings.plans.cells import DEFAULT_SIZE, CellSize, RunCells
+from soundings.plans.selection import exact_percentiles
 from soundings.schema import ACCEL_AXES, RUN, SEQ, TIME
 
 
@@ -67,25 +68,25 @@ def motion_zscore_summary(
 ) -> DataFrame:
     """Absolute z-scores per run. The percentiles are sketches, merged after partial aggregation.
 
-    With ``exact`` they are the smallest scores that the wanted share of a run does not exceed. That
-    takes one count of each distinct score, so use it where runs are not too long for a task.
+    With ``exact`` they are the smallest scores that the wanted share of a run does not exceed, found by
+    :func:`soundings.plans.selection.exact_percentiles`: four more passes, and no run in one task.
     """
     abs_z = F.abs("z_score")
+    scores = accel_zscores(df, window, size=size)
+    counted = [
+        F.count(F.lit(1)).alias("rows_seen"),
+        F.max(abs_z).alias("max_abs_z_score"),
+        exact_avg(abs_z).alias("avg_abs_z_score"),
+    ]
     if exact:
-        tail = F.array(
-            *[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY abs(z_score))") for p in (0.95, 0.99)]
-        )
-    else:
-        tail = F.percentile_approx(abs_z, [0.95, 0.99], accuracy)
+        wanted = {"p95_abs_z_score": 0.95, "p99_abs_z_score": 0.99}
+        tails = exact_percentiles(scores, abs_z, wanted).withColumnRenamed(RUN, "_run")
+        summary = scores.groupBy(RUN).agg(*counted)
+        return summary.join(tails, F.col(RUN).eqNullSafe(F.col("_run")), "left").drop("_run")
+    tail = F.percentile_approx(abs_z, [0.95, 0.99], accuracy).alias("_tail")
     return (
-        accel_zscores(df, window, size=size)
-        .groupBy(RUN)
-        .agg(
-            F.count(F.lit(1)).alias("rows_seen"),
-            F.max(abs_z).alias("max_abs_z_score"),
-            F.avg(abs_z).alias("avg_abs_z_score"),
-            tail.alias("_tail"),
-        )
+        scores.groupBy(RUN)
+        .agg(*counted, tail)
         .select(
             RUN,
             "rows_seen",

@@ -8,13 +8,19 @@
   ``marks_per_cell`` to a cell; every ``marks_per_cell``-th mark opens a cell.
   Marks follow the data, however unevenly it lies in time, and depend on nothing but row content,
   so a retried task or a second scan finds the same ones.
+* How marks are numbered. By a second hash one of ``marks_per_segment`` marks opens a *segment*. Marks
+  are numbered inside their segment and counted per segment, and the counts of earlier segments are
+  added: no task sees all marks of a run. A row is told its segment first, among the few that its
+  run has, then its cell, among the few that its segment has.
 * What a cell needs from earlier ones. Frames reach ``lookback`` rows back. A mark is a row, so
   the rows from the ``lookback``-th last mark of a cell onwards include its last ``lookback``
   rows. They are sent to the following cell too, feed the frames there and are dropped again.
   Wide frames get more marks, ``marks_per_lookback`` for each row they reach back, and longer cells
   where a cell has no room for these marks: at any width about a tenth more rows are sent.
-* What is broadcast. Two keys per cell of a long run: at most ``rows / hot_rows`` such runs and
-  about ``rows / cell_rows`` cells (some 50 MB for 10^12 rows, all of them in long runs).
+* What is broadcast. A row per long run, of which there are at most ``rows / hot_rows``, with a key
+  per segment, some 130 million rows (1 MB for 10^12 rows in one run). The cells of segments, two keys
+  each, are joined as Spark sees fit by their size; a segment shared by many rows is split like
+  any other skewed key.
 * What is not split: rows that agree in every column the operator uses.
 
 Everything is lazy. When no run is long there are no cuts, and adaptive execution drops the joins
@@ -36,9 +42,12 @@ from soundings.schema import RUN, SEQ, TIME
 CELL = "_cell"
 LONG = "_long"
 _KEY = "_key"
+_SEGMENT = "_segment"
+_OPENS = "_opens"
+_OPENERS = "_openers"
 _CUTS = "_cuts"
 _TAILS = "_tails"
-_STRIDES = "_strides"
+_EARLIER = "_earlier"
 _LONG_RUN = "_long_run"
 
 BY_TIME = (TIME, SEQ)
@@ -53,6 +62,7 @@ class CellSize:
     cell_rows: int = 2_000_000
     marks_per_cell: int = 64
     marks_per_lookback: int = 10
+    marks_per_segment: int = 4096
 
     def for_frames(self, lookback: int) -> CellSize:
         """With marks enough that the tail of a cell stays a small share of it."""
@@ -84,7 +94,9 @@ class RunCells:
         # Rows that agree in time and counter are told apart by their readings.
         self.ties = [c for c in df.columns if c not in (RUN, *order)]
         self.size = size.for_frames(lookback)
-        self.cuts = self._find_cuts(df if counted is None else counted)
+        marks = self._find_marks(df if counted is None else counted)
+        self.long_runs = self._find_segments(marks)
+        self.cuts = self._find_cuts(marks)
 
     def all_rows(self) -> DataFrame:
         """Every row with its cell; cell 0 throughout for runs that are not long."""
@@ -93,7 +105,7 @@ class RunCells:
     def short_rows(self) -> DataFrame:
         """Rows of runs that are not long, each run being one cell."""
         return self.df.join(
-            F.broadcast(self.cuts), _same_run(), "left_anti"
+            F.broadcast(self.long_runs), _same_run(), "left_anti"
         ).selectExpr("*", f"false AS {LONG}", f"0 AS {CELL}")
 
     def long_rows(self) -> DataFrame:
@@ -134,13 +146,14 @@ class RunCells:
         A complete cell has more marks, and so more rows, than a frame reaches back: no row is
         needed beyond the following cell.
         """
-        in_tail = f"{self.lookback} > 0 AND {_KEY} >= get({_TAILS}, {CELL})"
+        in_tail = f"{self.lookback} > 0 AND {_TAILS} > {CELL}"
         receivers = f"sequence({CELL}, {CELL} + if({in_tail}, 1, 0))"
         return self._placed().selectExpr(
             *self.df.columns, LONG, f"posexplode({receivers}) AS (_copy, {CELL})"
         )
 
-    def _find_cuts(self, counted: DataFrame) -> DataFrame:
+    def _find_marks(self, counted: DataFrame) -> DataFrame:
+        """(run, key, whether it opens a segment) of the marks of long runs."""
         size = self.size
         long_runs = (
             counted.groupBy(RUN)
@@ -150,35 +163,48 @@ class RunCells:
         )
         spacing = max(size.cell_rows // size.marks_per_cell, 1)
         row = ", ".join((RUN, *self.order, *self.ties))
-        marks = (
+        return (
             self.df.where(f"pmod(xxhash64({row}), {spacing}) = 0")
             .join(F.broadcast(long_runs), _same_run())
-            .selectExpr(_LONG_RUN, self._key())
-            .distinct()
-        )
-        in_order = f"PARTITION BY {_LONG_RUN} ORDER BY {_KEY}"
-        tail_place = max(size.marks_per_cell - self.lookback, 0)
-        return (
-            marks.selectExpr(
-                "*",
-                f"(row_number() OVER ({in_order}) - 1) % {size.marks_per_cell} AS _place",
-            )
-            .where(f"_place IN (0, {tail_place})")
-            .groupBy(_LONG_RUN)
-            .agg(
-                _sorted_keys("_place = 0").alias("_starts"),
-                _sorted_keys(f"_place = {tail_place}").alias(_TAILS),
-            )
-            .where("size(_starts) > 1")
-            # The first cell starts with the run, not with its first mark.
             .selectExpr(
-                _LONG_RUN,
-                f"slice(_starts, 2, size(_starts)) AS {_CUTS}",
-                _TAILS,
-                f"{_powers_of_two('size(_starts) - 1')} AS {_STRIDES}",
+                _LONG_RUN, self._key(), f"pmod(hash({row}), {size.marks_per_segment}) = 0 AS {_OPENS}"
             )
+            .distinct()
         )
 
+    def _find_segments(self, marks: DataFrame) -> DataFrame:
+        """Every long run with the keys at which its segments open, but for the first."""
+        return marks.groupBy(_LONG_RUN).agg(_sorted_keys(_OPENS).alias(_OPENERS))
+
+    def _find_cuts(self, marks: DataFrame) -> DataFrame:
+        """Every segment with the keys at which cells, and tails of cells, start in it, and the number
+        of marks in earlier segments."""
+        runs = self.long_runs.withColumnRenamed(_LONG_RUN, "_run")
+        marks = marks.join(F.broadcast(runs), F.expr(f"{_LONG_RUN} <=> _run")).selectExpr(
+            _LONG_RUN, _KEY, f"{_passed(_OPENERS)} AS {_SEGMENT}"
+        )
+        counts = marks.groupBy(_LONG_RUN, _SEGMENT).agg(F.count("*").alias("_count"))
+        before = Window.partitionBy(_LONG_RUN).orderBy(_SEGMENT)
+        offsets = counts.select(
+            F.col(_LONG_RUN).alias("_run"),
+            F.col(_SEGMENT).alias("_at"),
+            (F.sum("_count").over(before) - F.col("_count")).alias(_EARLIER),
+        )
+        inside = f"PARTITION BY {_LONG_RUN}, {_SEGMENT} ORDER BY {_KEY}"
+        numbered = marks.selectExpr("*", f"row_number() OVER ({inside}) - 1 AS _number").join(
+            offsets, F.expr(f"{_LONG_RUN} <=> _run AND {_SEGMENT} = _at")
+        )
+        every, place = self.size.marks_per_cell, f"{_EARLIER} + _number"
+        # The first cell starts with the run, not with its first mark.
+        starts = f"{place} > 0 AND ({place}) % {every} = 0"
+        return numbered.groupBy(_LONG_RUN, _SEGMENT, _EARLIER).agg(
+            _sorted_keys(starts).alias(_CUTS),
+            _sorted_keys(f"({place}) % {every} = {self._tail_place()}").alias(_TAILS),
+        )
+
+    def _tail_place(self) -> int:
+        return max(self.size.marks_per_cell - self.lookback, 0)
+
     def _key(self) -> str:
         """Sort key of a row as a struct that compares as the window's order does, NULLs last."""
         fields = [
@@ -189,15 +215,23 @@ class RunCells:
         return f"struct({', '.join(fields)}) AS {_KEY}"
 
     def _placed(self) -> DataFrame:
-        """Rows of long runs with their cell, next to the sort key and the run's cuts."""
-        cuts_passed = (
-            f"aggregate({_STRIDES}, 0, (passed, stride) -> "
-            f"if(get({_CUTS}, passed + stride - 1) <= {_KEY}, passed + stride, passed))"
-        )
+        """Rows of long runs with their cell, and in ``_tails`` the number of tails begun by then."""
+        every, tail = self.size.marks_per_cell, self._tail_place()
+        cuts = self.cuts.withColumnsRenamed({_LONG_RUN: "_run", _SEGMENT: "_at"})
         return (
-            self.df.join(F.broadcast(self.cuts), _same_run())
+            self.df.join(F.broadcast(self.long_runs), _same_run())
             .selectExpr("*", self._key(), f"true AS {LONG}")
-            .selectExpr("*", f"{cuts_passed} AS {CELL}")
+            .withColumn(_SEGMENT, F.expr(_passed(_OPENERS)))
+            # Before the first mark of a run there may be none in its segment.
+            .join(cuts, F.expr(f"{RUN} <=> _run AND {_SEGMENT} = _at"), "left")
+            .selectExpr(
+                *self.df.columns,
+                LONG,
+                f"int(if({_EARLIER} > 0, ({_EARLIER} - 1) DIV {every}, 0)"
+                f" + coalesce({_passed(_CUTS)}, 0)) AS {CELL}",
+                f"if({_EARLIER} > {tail}, ({_EARLIER} - 1 - {tail}) DIV {every} + 1, 0)"
+                f" + coalesce({_passed(_TAILS)}, 0) AS {_TAILS}",
+            )
         )
 
 
@@ -209,7 +243,11 @@ def _sorted_keys(condition: str) -> Column:
     return F.expr(f"sort_array(collect_list(if({condition}, {_KEY}, NULL)))")
 
 
-def _powers_of_two(limit: str) -> str:
-    """Powers of two up to ``limit``, largest first: the strides of a binary search."""
-    exponents = f"sequence(int(floor(log2({limit}))), 0, -1)"
-    return f"transform({exponents}, e -> int(pow(2, e)))"
+def _passed(keys: str) -> str:
+    """How many of the sorted ``keys`` a row's key has reached: a binary search by powers of two."""
+    exponents = f"sequence(int(floor(log2(greatest(size({keys}), 1)))), 0, -1)"
+    stride = "int(pow(2, e))"
+    return (
+        f"aggregate({exponents}, 0, (passed, e) -> "
+        f"if(get({keys}, passed + {stride} - 1) <= {_KEY}, passed + {stride}, passed))"
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import soundings as s
 from soundings.plans.cells import BY_TIME, CELL, CellSize, RunCells
 
-CUT = CellSize(hot_rows=40, cell_rows=6, marks_per_cell=2)
+CUT = CellSize(hot_rows=40, cell_rows=6, marks_per_cell=2, marks_per_segment=5)
 WINDOWED = [
     s.energy_per_run,
     s.voltage_sag_events,
@@ -112,7 +112,7 @@ def test_z_scores_stay_within_their_bound(skewed):
 @pytest.mark.parametrize("per_cell", [1, 3, 8])
 def test_frames_reach_back_over_cells(spark, lookback, per_cell):
     df = samples(spark, A=[{"t": i, "depth_m": float(i)} for i in range(200)])
-    marked = CellSize(10, 2 * per_cell, per_cell, marks_per_lookback=1)
+    marked = CellSize(10, 2 * per_cell, per_cell, marks_per_lookback=1, marks_per_segment=7)
     keys = df.select("run_id", *BY_TIME, "depth_m")
     cells = RunCells(keys, lookback=lookback, size=marked)
     rows = cells.with_columns(
@@ -168,3 +168,35 @@ def test_results_do_not_rest_on_adaptive_execution(spark, skewed, operator):
         assert _rows(operator(skewed)) == _rows(operator(skewed, size=CUT)) == expected
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("per_segment", [1, 6, 10**9])
+def test_marks_are_numbered_alike_by_any_segments(spark, per_segment):
+    """Cells and tails as if all marks of a run had been numbered at once."""
+    df = samples(spark, A=[{"t": (i // 50) ** 2} for i in range(1500)], B=[{"t": i} for i in range(99)])
+    size = CellSize(50, 20, 4, marks_per_lookback=1, marks_per_segment=per_segment)
+    cells = RunCells(df.select("run_id", *BY_TIME), lookback=3, size=size)
+    marks = cells._find_marks(df).collect()
+    rows = cells._placed().collect()
+    assert len(rows) == 1599
+    for run in "AB":
+        keys = sorted(m["_key"] for m in marks if m["_long_run"] == run)
+        assert len(keys) > 4
+        for r in (r for r in rows if r.run_id == run):
+            key = (int(r.timestamp_utc.timestamp() * 1e6), r.seq)
+            passed = sum(tuple(k) <= key for k in keys)
+            assert r[CELL] == max(passed - 1, 0) // 4
+            assert r["_tails"] == (passed + 2) // 4
+
+
+def test_no_window_or_list_over_all_marks_of_a_run(spark):
+    """Lists and windows hold a segment's share of the marks, whatever the run's length."""
+    most = []
+    for n in (2000, 16_000):
+        df = samples(spark, A=[{"t": i} for i in range(n)])
+        size = CellSize(100, 20, 4, marks_per_segment=40)
+        cells = RunCells(df.select("run_id", *BY_TIME), size=size)
+        rows = cells.cuts.selectExpr("size(_cuts) AS cuts", "_earlier").collect()
+        assert sum(r.cuts for r in rows) > n / 30
+        most.append(max(r.cuts for r in rows))
+    assert max(most) < 40 / 4 * 12 and len(rows) > 20
