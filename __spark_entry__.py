@@ -335,20 +335,20 @@ _HUMIDITY_OK = "humidity_pct BETWEEN 0 AND 100"
 _SINCE_LAST = "(epoch_us(timestamp_utc) - lag(epoch_us(timestamp_utc)) OVER run) / 1e6"
 
 
-_UNIT = f"{2**80}::HUGEINT"
+_UNIT = f"{2**60}::HUGEINT"
 
 
 def _units(value: str) -> str:
-    """The exact sum of doubles as a whole number of 2^-80."""
+    """The exact sum of doubles as a whole number of 2^-60."""
     whole = f"trunc({value})"
-    return f"sum(CAST({whole} AS HUGEINT) * {_UNIT} + CAST(({value} - {whole}) * {2.0**80!r}::DOUBLE AS HUGEINT))"
+    part = f"round_even(({value} - {whole}) * {2.0**60!r}::DOUBLE, 0)"
+    return f"sum(CAST({whole} AS HUGEINT) * {_UNIT} + CAST({part} AS HUGEINT))"
 
 
 def _from_units(units: str) -> str:
     part = f"((({units} % {_UNIT}) + {_UNIT}) % {_UNIT})"
-    upper, lower = f"({part} // {2**40})::DOUBLE", f"({part} % {2**40})::DOUBLE"
     whole = f"(({units} - {part}) // {_UNIT})::DOUBLE"
-    return f"({whole} + ({upper} / {2.0**40!r}::DOUBLE + {lower} / {2.0**80!r}::DOUBLE))"
+    return f"({whole} + {part}::DOUBLE / {2.0**60!r}::DOUBLE)"
 
 
 def _energy(where: str = "TRUE") -> str:

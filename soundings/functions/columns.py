@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -46,9 +45,9 @@ def accel_magnitude() -> Column:
     return F.sqrt(x * x + y * y + z * z)
 
 
-_CHUNK_BITS = 20
-_CHUNK = 2**_CHUNK_BITS
-_CHUNKS = 4
+_BITS = 20
+_MASK = 2**_BITS - 1
+_UNITS = 2.0 ** (3 * _BITS)
 # Beyond this a double has no fraction, and sums of its whole part could leave 64 bits.
 _WHOLE_LIMIT = 2.0**53
 
@@ -56,32 +55,31 @@ _WHOLE_LIMIT = 2.0**53
 def exact_sum(value: Column) -> Column:
     """The sum of a group's doubles whatever their order, so that partitions do not show in it.
 
-    A value is cut into its whole part and four chunks of 20 bits, and whole numbers are added. That is
-    exact for values of 2^-27 and more, and for any that are multiples of 2^-80; smaller ones are
-    rounded there, each on its own. The total is rounded at the end, to a double or to 2^-53. Values
-    beyond 2^53, and infinite or undefined ones, are added as doubles. Groups may have up to 2^43 rows.
+    A value is cut into its whole part and a number of units of 2^-60, these into three chunks of 20
+    bits, and whole numbers are added. That is exact for values of 2^-7 and more, and for any that
+    are multiples of 2^-60; smaller ones are rounded there, each on its own. The total is rounded at
+    the end, to a double or to 2^-53. Values beyond 2^53, and infinite or undefined ones, are added as
+    doubles. Groups may have up to 2^43 rows.
     """
-    plain = F.abs(value) <= _WHOLE_LIMIT
-    rest = F.when(plain, value)
-    parts = []
-    for last in [False] * _CHUNKS + [True]:
-        whole = F.rint(rest).cast("bigint") if last else rest.cast("bigint")
-        parts.append(F.sum(whole))
-        rest = (rest - whole) * F.lit(float(_CHUNK))
-    # Carried upwards, so that equal totals have equal chunks.
-    for i in range(_CHUNKS, 0, -1):
-        parts[i - 1] = parts[i - 1] + F.shiftright(parts[i], _CHUNK_BITS)
-        parts[i] = F.pmod(parts[i], F.lit(_CHUNK))
-    total = parts[0].cast("double") + _fraction(parts[1:])
-    odd = F.sum(F.when(~plain | F.isnan(value), value))
-    return F.when(odd.isNull(), total).when(total.isNull(), odd).otherwise(total + odd)
-
-
-def _fraction(chunks: Sequence[Column]) -> Column:
-    """Two chunks fill 40 bits of a double, so only adding the halves rounds."""
-    upper = (chunks[0] * _CHUNK + chunks[1]) / F.lit(float(_CHUNK**2))
-    lower = (chunks[2] * _CHUNK + chunks[3]) / F.lit(float(_CHUNK**4))
-    return upper + lower
+    fits = F.abs(value) <= _WHOLE_LIMIT
+    plain = F.when(fits, value)
+    units = F.rint((plain - plain.cast("bigint")) * F.lit(_UNITS)).cast("bigint")
+    whole = F.sum(plain.cast("bigint"))
+    upper = F.sum(F.shiftright(units, 2 * _BITS))
+    middle = F.sum(F.shiftright(units, _BITS).bitwiseAND(_MASK))
+    lower = F.sum(units.bitwiseAND(_MASK))
+    # Carried upwards, so that equal totals have equal parts.
+    middle = middle + F.shiftright(lower, _BITS)
+    upper = upper + F.shiftright(middle, _BITS)
+    whole = whole + F.shiftright(upper, _BITS)
+    fraction = (
+        F.shiftleft(upper.bitwiseAND(_MASK), 2 * _BITS)
+        + F.shiftleft(middle.bitwiseAND(_MASK), _BITS)
+        + lower.bitwiseAND(_MASK)
+    )
+    total = whole.cast("double") + fraction.cast("double") / F.lit(_UNITS)
+    odd = F.sum(F.when(~fits, value))
+    return F.coalesce(total + odd, total, odd)
 
 
 def exact_avg(value: Column) -> Column:
