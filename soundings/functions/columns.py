@@ -52,39 +52,35 @@ _UNITS = 2.0 ** (3 * _BITS)
 _WHOLE_LIMIT = 2.0**53
 
 
-def exact_sum(value: Column) -> Column:
+def exact_sum(value: str) -> Column:
     """The sum of a group's doubles whatever their order, so that partitions do not show in it.
 
     A value is cut into its whole part and a number of units of 2^-60, these into three chunks of 20
     bits, and whole numbers are added. That is exact for values of 2^-7 and more, and for any that
     are multiples of 2^-60; smaller ones are rounded there, each on its own. The total is rounded at
     the end, to a double or to 2^-53. Values beyond 2^53, and infinite or undefined ones, are added as
-    doubles. Groups may have up to 2^43 rows.
+    doubles. Groups may have up to 2^43 rows. ``value`` is SQL, which reaches Spark in one piece.
     """
-    fits = F.abs(value) <= _WHOLE_LIMIT
-    plain = F.when(fits, value)
-    units = F.rint((plain - plain.cast("bigint")) * F.lit(_UNITS)).cast("bigint")
-    whole = F.sum(plain.cast("bigint"))
-    upper = F.sum(F.shiftright(units, 2 * _BITS))
-    middle = F.sum(F.shiftright(units, _BITS).bitwiseAND(_MASK))
-    lower = F.sum(units.bitwiseAND(_MASK))
-    # Carried upwards, so that equal totals have equal parts.
-    middle = middle + F.shiftright(lower, _BITS)
-    upper = upper + F.shiftright(middle, _BITS)
-    whole = whole + F.shiftright(upper, _BITS)
-    fraction = (
-        F.shiftleft(upper.bitwiseAND(_MASK), 2 * _BITS)
-        + F.shiftleft(middle.bitwiseAND(_MASK), _BITS)
-        + lower.bitwiseAND(_MASK)
-    )
-    total = whole.cast("double") + fraction.cast("double") / F.lit(_UNITS)
-    odd = F.sum(F.when(~fits, value))
-    return F.coalesce(total + odd, total, odd)
-
-
-def exact_avg(value: Column) -> Column:
+    return F.expr(_exact_sum(value))
+
+
+def exact_avg(value: str) -> Column:
     """:func:`exact_sum` over the number of values; NULL if there are none."""
-    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
+    return F.expr(f"{_exact_sum(value)} / nullif(count({value}), 0)")
+
+
+def _exact_sum(value: str) -> str:
+    fits = f"abs({value}) <= {_WHOLE_LIMIT!r}D"
+    whole = f"bigint(if({fits}, {value}, NULL))"
+    units = f"bigint(rint(({value} - {whole}) * {_UNITS!r}D))"
+    lower = f"sum({units} & {_MASK})"
+    # Carried upwards, so that equal totals have equal parts.
+    middle = f"(sum({units} >> {_BITS} & {_MASK}) + ({lower} >> {_BITS}))"
+    upper = f"(sum({units} >> {2 * _BITS}) + ({middle} >> {_BITS}))"
+    fraction = f"({upper} & {_MASK}) * {_UNITS / 2**_BITS!r}D + (({middle} & {_MASK}) << {_BITS}) + ({lower} & {_MASK})"
+    total = f"(sum({whole}) + ({upper} >> {_BITS})) + ({fraction}) / {_UNITS!r}D"
+    odd = f"sum(if({fits}, NULL, {value}))"
+    return f"coalesce({total} + coalesce({odd}, 0D), {odd})"
 
 
 def ntz_from_instant(instant: Column) -> Column:

@@ -70,17 +70,21 @@ def depth_run_summary(
     maxima = long.groupBy(F.col(RUN).alias("_run")).agg(F.max(DEPTH).alias("_deepest"))
     long = long.join(F.broadcast(maxima), F.col(RUN).eqNullSafe(F.col("_run"))).drop("_run")
     rates = short.unionByName(long)
-    rate = F.col("vertical_rate_mps")
     # A sample without run id equals no run, hence has no maximum to compare with.
-    at_bottom = F.col(RUN).isNotNull() & (
-        F.col(DEPTH) >= F.lit(bottom_fraction) * F.col("_deepest")
+    at_bottom = f"{RUN} IS NOT NULL AND {DEPTH} >= {bottom_fraction!r}D * _deepest"
+    readings = rates.selectExpr(
+        RUN,
+        DEPTH,
+        "if(vertical_rate_mps > 0, vertical_rate_mps, NULL) AS _descent",
+        "if(vertical_rate_mps < 0, vertical_rate_mps, NULL) AS _ascent",
+        f"if({at_bottom}, delta_seconds, NULL) AS _at_bottom",
     )
-    return rates.groupBy(RUN).agg(
+    return readings.groupBy(RUN).agg(
         F.max(DEPTH).alias("max_depth_m"),
-        exact_avg(F.col(DEPTH)).alias("avg_depth_m"),
-        exact_avg(F.when(rate > 0, rate)).alias("avg_descent_rate_mps"),
-        exact_avg(F.when(rate < 0, rate)).alias("avg_ascent_rate_mps"),
-        exact_sum(F.when(at_bottom, F.col("delta_seconds"))).alias("time_at_depth_seconds"),
+        exact_avg(DEPTH).alias("avg_depth_m"),
+        exact_avg("_descent").alias("avg_descent_rate_mps"),
+        exact_avg("_ascent").alias("avg_ascent_rate_mps"),
+        exact_sum("_at_bottom").alias("time_at_depth_seconds"),
     )
 
 
@@ -117,16 +121,15 @@ def phase_summary(
     The battery columns travel with the depth samples, so no join back to the table is needed.
     """
     cells = _depth_cells(df, True, size, carried=(VOLTAGE, CURRENT))
-    joules = F.col(VOLTAGE) * F.col(CURRENT) * F.col("delta_seconds")
     return (
         _rates(cells)
         .groupBy(RUN, _phase(surface_m, rate_mps).alias("phase"))
         .agg(
             F.count(F.lit(1)).alias("rows_seen"),
-            exact_sum(F.col("delta_seconds")).alias("phase_seconds"),
-            exact_avg(F.col(CURRENT)).alias("avg_current_a"),
-            exact_avg(F.col(VOLTAGE)).alias("avg_voltage_v"),
-            (exact_sum(joules) / 3600.0).alias("energy_wh"),
+            exact_sum("delta_seconds").alias("phase_seconds"),
+            exact_avg(CURRENT).alias("avg_current_a"),
+            exact_avg(VOLTAGE).alias("avg_voltage_v"),
+            (exact_sum(f"{VOLTAGE} * {CURRENT} * delta_seconds") / 3600.0).alias("energy_wh"),
         )
     )
 

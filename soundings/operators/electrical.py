@@ -28,7 +28,7 @@ def energy_per_run(
     steps = RunCells(power, counted=df, lookback=1, size=size).with_columns(
         lambda w: {"delta_seconds": seconds_between(F.col(TIME), F.lag(TIME).over(w))}
     )
-    joules = exact_sum(F.col("power_w") * F.col("delta_seconds"))
+    joules = exact_sum("power_w * delta_seconds")
     return (
         steps.where(F.col("delta_seconds").isNotNull())
         .groupBy(RUN)
@@ -89,4 +89,4 @@ def voltage_sag_step(
 
 def avg_voltage(df: DataFrame) -> DataFrame:
     """Mean pack voltage over all samples."""
-    return df.agg(exact_avg(F.col(VOLTAGE)).alias("avg_voltage_v"))
+    return df.agg(exact_avg(VOLTAGE).alias("avg_voltage_v"))

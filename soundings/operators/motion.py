@@ -76,11 +76,11 @@ def motion_zscore_summary(
     counted = [
         F.count(F.lit(1)).alias("rows_seen"),
         F.max(abs_z).alias("max_abs_z_score"),
-        exact_avg(abs_z).alias("avg_abs_z_score"),
+        exact_avg("abs(z_score)").alias("avg_abs_z_score"),
     ]
     if exact:
         wanted = {"p95_abs_z_score": 0.95, "p99_abs_z_score": 0.99}
-        tails = exact_percentiles(scores, abs_z, wanted).withColumnRenamed(RUN, "_run")
+        tails = exact_percentiles(scores, "abs(z_score)", wanted).withColumnRenamed(RUN, "_run")
         summary = scores.groupBy(RUN).agg(*counted)
         return summary.join(tails, F.col(RUN).eqNullSafe(F.col("_run")), "left").drop("_run")
     tail = F.percentile_approx(abs_z, [0.95, 0.99], accuracy).alias("_tail")

@@ -23,38 +23,36 @@ _BIAS = 1023
 _LEAST_NORMAL = 2.0**-1022
 
 
-def sort_key(value: Column) -> Column:
+def sort_key(value: str) -> Column:
     """The bits of a double as a bigint that orders as the double: -0.0 is 0.0, NaN comes last."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size))
-    power = F.pow(F.lit(2.0), guess)
+    size = f"abs({value})"
+    guess = f"floor(log2({size}))"
+    power = f"pow(2D, {guess})"
     # The logarithm is rounded; comparing with powers of two, which are exact, mends it.
-    exponent = guess + F.when(power > size, -1).when(size / power >= 2, 1).otherwise(0)
-    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * F.lit(2.0**_FRACTION)
-    normal = F.shiftleft((exponent + _BIAS).cast("bigint"), _FRACTION) + fraction.cast("bigint")
-    bits = (
-        F.when(F.isnan(value), (2047 << _FRACTION) + 1)
-        .when(size == float("inf"), 2047 << _FRACTION)
-        .when(size < _LEAST_NORMAL, (size * 2.0**537 * 2.0**537).cast("bigint"))
-        .otherwise(normal)
+    exponent = f"({guess} + CASE WHEN {power} > {size} THEN -1 WHEN {size} / {power} >= 2 THEN 1 ELSE 0 END)"
+    fraction = f"bigint(({size} / pow(2D, {exponent}) - 1) * {2.0**_FRACTION!r}D)"
+    return F.expr(
+        f"CASE WHEN isnan({value}) THEN {(2047 << _FRACTION) + 1}L "
+        f"ELSE if({value} < 0, -1L, 1L) * CASE "
+        f"WHEN {size} = double('Infinity') THEN {2047 << _FRACTION}L "
+        f"WHEN {size} < {_LEAST_NORMAL!r}D THEN bigint({size} * {2.0**537!r}D * {2.0**537!r}D) "
+        f"ELSE (bigint({exponent} + {_BIAS}) << {_FRACTION}) + {fraction} END END"
     )
-    return F.when((value < 0) & ~F.isnan(value), -bits).otherwise(bits)
 
 
-def from_sort_key(key: Column) -> Column:
+def from_sort_key(key: str) -> Column:
     """Inverse of :func:`sort_key`."""
-    bits = F.abs(key)
-    exponent = F.shiftright(bits, _FRACTION)
-    fraction = (bits - F.shiftleft(exponent, _FRACTION)).cast("double")
-    size = (
-        F.when((exponent == 2047) & (fraction > 0), float("nan"))
-        .when(exponent == 0, fraction * 2.0**-537 * 2.0**-537)
-        .otherwise((1 + fraction / 2.0**_FRACTION) * F.pow(F.lit(2.0), exponent - _BIAS))
+    exponent = f"(abs({key}) >> {_FRACTION})"
+    fraction = f"double(abs({key}) & {2**_FRACTION - 1}L)"
+    return F.expr(
+        f"if({key} < 0, -1D, 1D) * CASE "
+        f"WHEN {exponent} = 2047 AND {fraction} > 0 THEN double('NaN') "
+        f"WHEN {exponent} = 0 THEN {fraction} * {2.0**-537!r}D * {2.0**-537!r}D "
+        f"ELSE (1 + {fraction} / {2.0**_FRACTION!r}D) * pow(2D, {exponent} - {_BIAS}) END"
     )
-    return F.when(key < 0, -size).otherwise(size)
 
 
-def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: str, shares: Mapping[str, float]) -> DataFrame:
     """(run_id, one column per share): the smallest value that at least the share of a run's values
     do not exceed. NULL values do not count, and runs without others are absent."""
     rows = df.select(RUN, sort_key(value).alias("_key")).where("_key IS NOT NULL")
@@ -81,7 +79,7 @@ def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float])
         )
         targets = _reached(counts)
     columns = [
-        F.max(F.when(F.col("name") == name, from_sort_key(F.col("_prefix")))).alias(name)
+        F.max(F.when(F.col("name") == name, from_sort_key("_prefix"))).alias(name)
         for name in shares
     ]
     return targets.groupBy(RUN).agg(*columns)

@@ -25,7 +25,7 @@ def test_sums_are_those_of_fractions(spark):
     rng = random.Random(2)
     rows = [(g, _any_double(rng)) for g in range(40) for _ in range(150)]
     df = spark.createDataFrame(rows, "g int, x double")
-    for r in df.groupBy("g").agg(exact_sum(F.col("x")).alias("sum")).collect():
+    for r in df.groupBy("g").agg(exact_sum("x").alias("sum")).collect():
         true = float(sum(Fraction(x) for g, x in rows if g == r.g))
         assert r.sum == pytest.approx(true, rel=2**-52, abs=2**-52)
 
@@ -37,7 +37,7 @@ def test_sums_do_not_depend_on_partitions(spark):
     seen = set()
     for n in (1, 3, 16):
         placed = df.repartitionByRange(n, "place").sortWithinPartitions(F.col("place") * -n)
-        found = placed.groupBy("g").agg(exact_sum(F.col("x")), exact_avg(F.col("x")))
+        found = placed.groupBy("g").agg(exact_sum("x"), exact_avg("x"))
         seen.add(tuple(sorted(map(tuple, found.collect()))))
     assert len(seen) == 1
 
@@ -56,13 +56,13 @@ def test_sums_of_odd_values(spark):
     }
     rows = [(g, x) for g, (values, _) in groups.items() for x in values]
     df = spark.createDataFrame(rows, "g int, x double")
-    for r in df.groupBy("g").agg(exact_sum(F.col("x")).alias("sum")).collect():
+    for r in df.groupBy("g").agg(exact_sum("x").alias("sum")).collect():
         expected = groups[r.g][1]
         if expected is None or math.isnan(expected):
             assert r.sum is None if expected is None else math.isnan(r.sum)
         else:
             assert r.sum == pytest.approx(expected, abs=2**-53)
-    assert df.limit(0).agg(exact_avg(F.col("x"))).first()[0] is None
+    assert df.limit(0).agg(exact_avg("x")).first()[0] is None
 
 
 def test_sort_keys_are_the_bits(spark):
@@ -71,7 +71,8 @@ def test_sort_keys_are_the_bits(spark):
     values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
     values += [math.nextafter(2.0**e, up) for e in range(-1074, 1024, 7) for up in (0, 2.0**e, math.inf)]
     df = spark.createDataFrame([(x,) for x in values], "x double")
-    for x, key, back in df.select("x", sort_key(F.col("x")), from_sort_key(sort_key(F.col("x")))).collect():
+    keys = df.select("x", sort_key("x").alias("key"))
+    for x, key, back in keys.select("x", "key", from_sort_key("key")).collect():
         if math.isnan(x):
             assert math.isnan(back) and key > 2047 << 52
             continue
@@ -86,7 +87,7 @@ def test_percentiles_by_sorting(spark):
     rows = [(r, x) for r, values in runs.items() for x in values] + [("r2", None), ("only null", None)]
     df = spark.createDataFrame(rows, "run_id string, x double")
     shares = {"low": 0.0001, "half": 0.5, "p95": 0.95, "all": 1.0}
-    found = exact_percentiles(df, F.col("x"), shares).collect()
+    found = exact_percentiles(df, "x", shares).collect()
     assert {r.run_id for r in found} == set(runs)
     for r in found:
         ordered = sorted(runs[r.run_id], key=lambda x: (math.isnan(x), x))
@@ -120,7 +121,7 @@ def test_exact_percentiles_of_a_run_of_a_million(spark):
 def test_no_task_gets_a_run_for_its_percentiles(spark):
     """What is shuffled by run alone has been counted before."""
     df = spark.range(100_000).select(F.lit("hot").alias("run_id"), F.rand(1).alias("x"))
-    found = exact_percentiles(df, F.col("x"), {"p95": 0.95})
+    found = exact_percentiles(df, "x", {"p95": 0.95})
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "percentile" not in plan and "collect_list" not in plan and "partial_count" in plan
