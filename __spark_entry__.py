@@ -380,12 +380,19 @@ FROM ({_RATES})"""
 
 def _depth_summary(rates: str) -> str:
     return f"""
-SELECT run_id, max(depth_m) AS max_depth_m, avg(depth_m) AS avg_depth_m,
-       avg(vertical_rate_mps) FILTER (vertical_rate_mps > 0) AS avg_descent_rate_mps,
-       avg(vertical_rate_mps) FILTER (vertical_rate_mps < 0) AS avg_ascent_rate_mps,
-       sum(delta_seconds) FILTER (depth_m >= 0.9 * deepest) AS time_at_depth_seconds
-FROM (SELECT *, max(depth_m) OVER (PARTITION BY run_id) AS deepest FROM ({rates}))
-GROUP BY run_id"""
+SELECT run_id, max_depth_m, {_from_units("depths")} / samples AS avg_depth_m,
+       {_from_units("descents")} / nullif(descending, 0) AS avg_descent_rate_mps,
+       {_from_units("ascents")} / nullif(ascending, 0) AS avg_ascent_rate_mps,
+       {_from_units("seconds")} AS time_at_depth_seconds
+FROM (SELECT run_id, max(depth_m) AS max_depth_m, count(depth_m) AS samples,
+             count(down) AS descending, count(up) AS ascending, {_units("depth_m")} AS depths,
+             {_units("down")} AS descents, {_units("up")} AS ascents, {_units("deep")} AS seconds
+      FROM (SELECT *, CASE WHEN vertical_rate_mps > 0 THEN vertical_rate_mps END AS down,
+                   CASE WHEN vertical_rate_mps < 0 THEN vertical_rate_mps END AS up,
+                   CASE WHEN depth_m >= 0.9 * max(depth_m) OVER (PARTITION BY run_id)
+                        THEN delta_seconds END AS deep
+            FROM ({rates}))
+      GROUP BY run_id)"""
 
 
 _SAG = f"""
@@ -421,11 +428,12 @@ FROM (SELECT *, avg(accel_mag) OVER recent AS rolling_mean,
 _ZSCORES = _zscores(_IMU_KNOWN)
 _ANOMALIES = f"SELECT * FROM ({_ZSCORES}) WHERE abs(z_score) >= 3"
 _ZSCORE_SUMMARY = f"""
-SELECT run_id, count(*) AS rows_seen, max(abs(z_score)) AS max_abs_z_score,
-       avg(abs(z_score)) AS avg_abs_z_score,
-       quantile_disc(abs(z_score), 0.95) AS p95_abs_z_score,
-       quantile_disc(abs(z_score), 0.99) AS p99_abs_z_score
-FROM ({_ZSCORES}) GROUP BY run_id"""
+SELECT * EXCLUDE (scores), {_from_units("scores")} / rows_seen AS avg_abs_z_score
+FROM (SELECT run_id, count(*) AS rows_seen, max(abs(z_score)) AS max_abs_z_score,
+             {_units("abs(z_score)")} AS scores,
+             quantile_disc(abs(z_score), 0.95) AS p95_abs_z_score,
+             quantile_disc(abs(z_score), 0.99) AS p99_abs_z_score
+      FROM ({_ZSCORES}) GROUP BY run_id)"""
 
 _STREAKS = f"""
 SELECT run_id, min(timestamp_utc) AS streak_start, max(timestamp_utc) AS streak_end,
@@ -532,7 +540,9 @@ def oracle_sql() -> dict[str, str]:
         "voltage_sag_step": (_SAG_STEP, ["run_id", "timestamp_utc", *battery, *deltas]),
         "voltage_sag_step_counts": counts(_SAG_STEP, "event_count"),
         "avg_voltage": (
-            "SELECT avg(battery_voltage_v) AS avg_voltage_v FROM sensor_data",
+            f"SELECT {_from_units('volts')} / samples AS avg_voltage_v FROM (SELECT"
+            f" {_units('battery_voltage_v')} AS volts, count(battery_voltage_v) AS samples"
+            " FROM sensor_data)",
             ["~avg_voltage_v"],
         ),
         "max_depth": (
