@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -96,6 +97,8 @@ def queries() -> dict[str, Query]:
         "split_by_groups": _split_by_groups,
         "split_by_keywords": _split_by_keywords,
         "register_views": _register_views,
+        "create_sensor_table": _create_sensor_table,
+        "catalog_views": _catalog_views,
         "refresh_outputs": _refresh_outputs,
         "dive_plan_profile": _dive_plan_profile,
     }
@@ -257,6 +260,32 @@ def _register_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _publish(spark: SparkSession, sf_dir: str) -> str:
+    """All samples by run, counters of 32 bits in some directories and 64 in others; half come late."""
+    location, name = shared_dir(spark, "by_run"), f"sensor_data_{uuid.uuid4().hex}"
+    samples = read_events_as_sensor_data(spark, sf_dir)
+    for half, width in ((0, "int"), (1, "bigint")):
+        own = samples.where(F.pmod(F.xxhash64("run_id"), F.lit(2)) == half)
+        own = own.withColumn("seq", F.col("seq").cast(width)).repartition("run_id")
+        own.write.mode("append").partitionBy("run_id").parquet(location)
+        s.publish_sensor_data(spark, location, name, by_run=True)
+    return name
+
+
+def _create_sensor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published table, read by another session."""
+    return spark.newSession().table(_publish(spark, sf_dir))
+
+
+def _catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six views over the files of the whole table, read by another session."""
+    location, name = shared_dir(spark, "published"), f"sensor_data_{uuid.uuid4().hex}"
+    s.write_sensor_data(read_events_as_sensor_data(spark, sf_dir), location)
+    s.publish_sensor_data(spark, location, name)
+    other = spark.newSession()
+    return reduce(DataFrame.unionByName, [_numbers(other.table(f"{name}_{n}"), n) for n in VIEWS])
+
+
 def _refresh_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run arrives in three files, one of them late and after the checkpoint was lost.
 
@@ -649,6 +678,7 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
             all_columns,
         ),
         "read_sensor_data": (everything, all_columns),
+        "create_sensor_table": (everything, all_columns),
         "split_by_column": (
             " UNION ALL ".join(
                 f"SELECT {_IDS}, {name} AS reading, '{name}' AS signal FROM sensor_data"
@@ -670,7 +700,7 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
         ),
         "dive_plan_profile": (_PLAN_TICKS, ["run_id", "~t_s", "~depth_m"]),
     }
-    bodies["refresh_outputs"] = (
+    bodies["refresh_outputs"] = bodies["catalog_views"] = (
         " UNION ALL ".join(_long_form(name, *bodies[name]) for name in VIEWS),
         ["output", "run_id", "seq", "label", "measure", "~reading"],
     )

@@ -35,7 +35,7 @@ from soundings.operators.motion import (
 )
 from soundings.operators.quality import seq_gaps, timestamp_disorder
 from soundings.plans.cells import CellSize
-from soundings.sources.catalog import create_sensor_table, register_views
+from soundings.sources.catalog import create_sensor_table, publish_sensor_data, register_views
 from soundings.sources.csv import (
     convert_csv_raw,
     drop_all_null_rows,

@@ -61,15 +61,19 @@ def exact_sum(value: str) -> Column:
     the end, to a double or to 2^-53. Values beyond 2^53, and infinite or undefined ones, are added as
     doubles. Groups may have up to 2^43 rows. ``value`` is SQL, which reaches Spark in one piece.
     """
-    return F.expr(_exact_sum(value))
+    return F.expr(exact_sum_sql(value))
 
 
 def exact_avg(value: str) -> Column:
     """:func:`exact_sum` over the number of values; NULL if there are none."""
-    return F.expr(f"{_exact_sum(value)} / nullif(count({value}), 0)")
+    return F.expr(exact_avg_sql(value))
 
 
-def _exact_sum(value: str) -> str:
+def exact_avg_sql(value: str) -> str:
+    return f"{exact_sum_sql(value)} / nullif(count({value}), 0)"
+
+
+def exact_sum_sql(value: str) -> str:
     fits = f"abs({value}) <= {_WHOLE_LIMIT!r}D"
     whole = f"bigint(if({fits}, {value}, NULL))"
     units = f"bigint(rint(({value} - {whole}) * {_UNITS!r}D))"

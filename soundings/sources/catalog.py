@@ -8,7 +8,8 @@ from soundings.operators.depth import depth_run_summary, run_phase_segments
 from soundings.operators.electrical import energy_per_run, voltage_sag_events
 from soundings.operators.motion import motion_anomalies, motion_zscore_summary
 from soundings.plans.cells import DEFAULT_SIZE, CellSize
-from soundings.schema import SENSOR_SCHEMA
+from soundings.schema import RUN, SENSOR_SCHEMA
+from soundings.sources import views
 
 VIEWS = {
     "energy_per_run": energy_per_run,
@@ -43,3 +44,34 @@ def create_sensor_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{where}'"
     )
     return spark.table(name)
+
+
+def publish_sensor_data(
+    spark: SparkSession, location: str, name: str = "sensor_data", by_run: bool = False
+) -> list[str]:
+    """Publish the files below ``location`` and the six results for every session of the catalog.
+
+    ``<name>_files`` is an external table over the files as they are stored, whose counters may have 32
+    or 64 bits; ``name`` is a view of it with the canonical types, and next to it stand the results as
+    ``<name>_energy_per_run`` and so on. With ``by_run`` the files lie in directories ``run_id=...``, of which
+    a query for some runs reads theirs only. Call again when directories have been added.
+
+    The views are SQL, and a run's window is one task; for longer runs there are the operators.
+    """
+    files = f"{name}_files"
+    stored = [(f.name, "bigint" if f.name == "seq" else f.dataType.simpleString()) for f in SENSOR_SCHEMA]
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in stored)
+    layout = f"PARTITIONED BY ({RUN})" if by_run else ""
+    where = location.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet {layout} LOCATION '{where}'"
+    )
+    if by_run:
+        spark.sql(f"ALTER TABLE {files} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(files)
+    canonical = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in SENSOR_SCHEMA)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {canonical} FROM {files}")
+    made = {f"{name}_{view}": sql for view, sql in views.results(name).items()}
+    for view, sql in made.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS {sql}")
+    return [files, name, *made]

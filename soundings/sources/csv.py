@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from soundings.functions.columns import any_present, instant_from_ntz
 from soundings.schema import DEFAULT_ID_COLUMNS, RUN, SENSOR_SCHEMA
+from soundings.sources.workspace import remove_dir, shared_dir
 
 # Spellings of a missing value in CSV files, as pandas reads them by default.
 MISSING_SPELLINGS = (
@@ -36,6 +37,8 @@ MISSING_SPELLINGS = (
 
 _BROKEN = "_broken_line"
 _CANONICAL_TYPES = {f.name: f.dataType.simpleString() for f in SENSOR_SCHEMA}
+_INTEGERS = [n for n, t in _CANONICAL_TYPES.items() if t == "int"]
+_CANDIDATES = ("int", "bigint", "double", "boolean")
 
 
 def id_columns(
@@ -57,11 +60,13 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file, or a directory of files with one header, as text with missing values as NULL.
 
     Files whose header differs are refused rather than read by position, and so is, when it is
-    met, a line with more fields than the header. A line with fewer has NULL in the rest.
+    met, a line with more fields than the header, whichever columns are asked for: every line is
+    parsed whole. A line with fewer has NULL in the rest.
     """
     names = spark.read.csv(path, header=True).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BROKEN)])
-    text = spark.read.csv(
+    reader = spark.read.option("columnPruning", False)
+    text = reader.csv(
         path, schema, header=True, enforceSchema=False, columnNameOfCorruptRecord=_BROKEN
     )
     unquoted = F.regexp_replace(_BROKEN, r'"(?:[^"\\]|\\.|"")*"', "")
@@ -100,22 +105,31 @@ def parse_time_columns(df: DataFrame, ids: Sequence[str]) -> DataFrame:
 def type_signals(
     df: DataFrame, ids: Sequence[str], types: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Give text columns their type; no number is cut or rounded for it.
+    """Give text columns their type.
 
     Canonical columns get theirs, a canonical integer a wider one if a value needs it: bigint, or
-    double for fractions. Identifiers without a canonical type and canonical times stay text, and
-    other columns get the narrowest type that all values fit. ``types`` fixes the types of the
-    columns it names; if it names all that the values would decide, they are not read for it.
+    double for fractions, which rounds whole numbers beyond 2^53. Identifiers without a canonical type
+    and canonical times stay text, and other columns get the narrowest type that all values fit.
+    ``types`` fixes the types of the columns it names; if it names all that the values would decide,
+    they are not read for it.
     """
-    fixed = {n: t for n, t in _CANONICAL_TYPES.items() if t != "int" and not is_time_column(n)}
-    fixed |= dict.fromkeys(ids, "string") | (types or {})
+    fixed, undecided = _fixed_types(df.columns, ids, types)
+    votes = _votes(undecided)
+    found = df.agg(*votes).first().asDict() if votes else {}
+    return _typed(df, fixed | _narrowest_types(found, undecided))
+
+
+def _fixed_types(
+    columns: Sequence[str], ids: Sequence[str], types: Mapping[str, str] | None
+) -> tuple[dict[str, str], list[str]]:
+    """Types known without a look at the values, and the columns without one."""
+    fixed = {n: t for n, t in _CANONICAL_TYPES.items() if n not in _INTEGERS}
+    fixed |= {n: "string" for n in ids if n not in _INTEGERS} | dict(types or {})
     fixed |= {n: "string" for n in _CANONICAL_TYPES if is_time_column(n)}
-    integers = [n for n, t in _CANONICAL_TYPES.items() if t == "int"]
-    for name in integers:
-        if name not in (types or {}):
-            fixed.pop(name, None)
-    open_cols = [c for c in df.columns if c not in fixed]
-    chosen = fixed | _narrowest_types(df, open_cols, integers)
+    return fixed, [c for c in columns if c not in fixed]
+
+
+def _typed(df: DataFrame, chosen: Mapping[str, str]) -> DataFrame:
     text = dict(df.dtypes)
 
     def typed(name: str) -> Column:
@@ -140,21 +154,16 @@ def _whole(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint"), floats)
 
 
-def _narrowest_types(
-    df: DataFrame, names: Sequence[str], integers: Sequence[str]
-) -> dict[str, str]:
-    """One aggregate over the named columns; its single row says which type fits each of them.
+def _votes(names: Sequence[str]) -> list[Column]:
+    """Aggregates that say of each named column and type whether a value does not fit.
 
-    Values of ``integers`` that are no numbers do not count.
+    In canonical integers values that are no numbers do not count.
     """
-    candidates = ("int", "bigint", "double", "boolean")
-    if not names:
-        return {}
 
     def misfits(name: str, wanted: str) -> Column:
         value = F.col(f"`{name}`")
         counts = value.isNotNull()
-        if name in integers:
+        if name in _INTEGERS:
             counts = value.try_cast("double").isNotNull()
             fits = _whole(value).try_cast(wanted) if wanted != "double" else value.try_cast(wanted)
         else:
@@ -162,13 +171,17 @@ def _narrowest_types(
         return F.coalesce(F.bool_or(counts & fits.isNull()), F.lit(False)).alias(f"{wanted}:{name}")
 
     seen = [F.bool_or(F.col(f"`{n}`").isNotNull()).alias(f"seen:{n}") for n in names]
-    row = df.agg(*[misfits(n, t) for n in names for t in candidates], *seen).first()
+    return [misfits(n, t) for n in names for t in _CANDIDATES] + seen
+
+
+def _narrowest_types(found: Mapping[str, bool], names: Sequence[str]) -> dict[str, str]:
+    """The first type that fits, from what :func:`_votes` found."""
 
     def narrowest(name: str) -> str:
-        if not row[f"seen:{name}"]:
-            return "int" if name in integers else "double"
-        allowed = candidates if name in integers else candidates[1:]
-        return next((t for t in allowed if not row[f"{t}:{name}"]), "string")
+        if not found[f"seen:{name}"]:
+            return "int" if name in _INTEGERS else "double"
+        allowed = _CANDIDATES if name in _INTEGERS else _CANDIDATES[1:]
+        return next((t for t in allowed if not found[f"{t}:{name}"]), "string")
 
     return {name: narrowest(name) for name in names}
 
@@ -187,13 +200,36 @@ def read_sensor_csv(
     drop_empty_rows: bool = False,
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A wide CSV log with its column order kept and every column typed."""
-    text = read_csv_text(spark, path)
-    ids = id_columns(text.columns, id_cols)
-    df = type_signals(text, ids, types)
+    """A wide CSV log with its column order kept and every column typed.
+
+    The CSV is parsed once. Where values decide about types, they are looked at while the text is
+    stored as Parquet in the shared folder, and the result reads that copy.
+    """
+    return _read(spark, path, id_cols, parse_times, drop_empty_rows, types)[0]
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    id_cols: Sequence[str],
+    parse_times: bool,
+    drop_empty_rows: bool,
+    types: Mapping[str, str] | None,
+) -> tuple[DataFrame, str | None]:
+    """The typed log, and the folder of the copy it reads if there is one."""
+    df, copy = read_csv_text(spark, path), None
+    ids = id_columns(df.columns, id_cols)
+    chosen, undecided = _fixed_types(df.columns, ids, types)
+    if undecided:
+        copy, votes = shared_dir(spark, "csv"), Observation()
+        schema = df.schema
+        df.observe(votes, *_votes(undecided)).write.parquet(copy)
+        df = spark.read.schema(schema).parquet(copy)
+        chosen |= _narrowest_types(votes.get, undecided)
+    df = _typed(df, chosen)
     if parse_times:
         df = parse_time_columns(df, ids)
-    return drop_all_null_rows(df, ids) if drop_empty_rows else df
+    return drop_all_null_rows(df, ids) if drop_empty_rows else df, copy
 
 
 def ingest_csv(
@@ -204,20 +240,27 @@ def ingest_csv(
     parse_times: bool = True,
     drop_all_null_rows: bool = False,
     partition_by_run: bool = False,
+    types: Mapping[str, str] | None = None,
 ) -> str:
     """Convert a CSV log to a directory of Parquet files and return the directory.
 
+    ``types`` fixes column types, as for :func:`type_signals`; with all of them known no copy is made.
+
     With ``partition_by_run`` rows of a run share a directory, which :func:`filter_run` and the
     refresh job read alone. Each writing task then keeps one open file per run it meets.
     """
-    df = read_sensor_csv(spark, path, id_cols, parse_times, drop_all_null_rows)
+    df, copy = _read(spark, path, id_cols, parse_times, drop_all_null_rows, types)
     writer = df.write.mode("overwrite")
     if partition_by_run:
         writer = writer.partitionBy(RUN)
     writer.parquet(out)
+    if copy:
+        remove_dir(spark, copy)
     return out
 
 
-def convert_csv_raw(spark: SparkSession, path: str, out: str) -> str:
+def convert_csv_raw(
+    spark: SparkSession, path: str, out: str, types: Mapping[str, str] | None = None
+) -> str:
     """Convert a CSV log without reading its times or dropping rows."""
-    return ingest_csv(spark, path, out, parse_times=False)
+    return ingest_csv(spark, path, out, parse_times=False, types=types)

@@ -23,3 +23,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="soundings-")
         spark.conf.set(_CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a directory made by :func:`shared_dir` whose content is no longer read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -16,7 +16,7 @@ NAMES = sorted(oracle_sql())
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("events", "supplier", "documents", "embeddings"):
+    for table in ("events", "supplier", "documents", "embeddings", "conversations"):
         con.execute(
             f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')"
         )

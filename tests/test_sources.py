@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from frames import START, battery, depth, samples
+from pyspark.sql import functions as F
 
 import soundings as s
 from soundings.schema import SENSOR_SCHEMA
@@ -269,3 +270,60 @@ def test_preview_and_count(spark):
     df = samples(spark, B=[depth(t, 1.0) for t in range(9)], A=[depth(t, 1.0) for t in range(9)])
     assert [r.run_id for r in s.preview(df).collect()] == ["A"] * 9 + ["B"]
     assert s.row_count(df).first().row_count == 18
+
+
+@pytest.mark.parametrize("select", [["seq"], ["run_id", "note"], ["note"]])
+def test_surplus_fields_are_refused_under_any_selection(spark, tmp_path, select):
+    path = tmp_path / "wide.csv"
+    path.write_text("seq,run_id,note\n1,a,x\n2,b,y,EXTRA\n")
+    text = read_csv_text(spark, str(path))
+    for look in (lambda: text.select(*select).collect(), text.count):
+        with pytest.raises(Exception, match="more fields"):
+            look()
+
+
+def _csv_scans(spark, action):
+    """Queries that scan CSV by a schema, as the session's own record of executions has them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    action()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
+    return sum("Scan csv" in plan for plan in plans)
+
+
+def test_csv_is_parsed_once(spark, tmp_path):
+    path, out = tmp_path / "run.csv", str(tmp_path / "out")
+    path.write_text("seq,run_id,depth_m,extra\n1,a,1.5,yes\n2,a,NA,7\n")
+    assert _csv_scans(spark, lambda: s.ingest_csv(spark, str(path), out)) == 1
+    assert spark.read.parquet(out).dtypes[-1] == ("extra", "string")
+    types = {"seq": "int", "extra": "string"}
+    assert _csv_scans(spark, lambda: s.ingest_csv(spark, str(path), out, types=types)) == 1
+    assert [r.seq for r in spark.read.parquet(out).collect()] == [1, 2]
+    paths = s.split_csv(spark, str(path), str(tmp_path / "split"), types={"extra": "string"})
+    assert len(paths) == 2
+    shared = tmp_path / "empty.csv"
+    shared.write_text("seq,run_id,other\n")
+    s.ingest_csv(spark, str(shared), out)
+    assert spark.read.parquet(out).count() == 0
+
+
+def test_published_views_are_seen_by_any_session(spark, tmp_path):
+    runs = {f"r{n}": [battery(t, 16.0, 1.0) | depth(t, float(t)) for t in range(4)] for n in range(3)}
+    df = samples(spark, **runs)
+    place = str(tmp_path / "by_run")
+    s.write_sensor_data(df.where("run_id <> 'r2'"), place, partition_by_run=True)
+    names = s.publish_sensor_data(spark, place, "fleet", by_run=True)
+    other = spark.newSession()
+    assert len(names) == 8 and other.table("fleet").schema == SENSOR_SCHEMA
+    assert other.table("fleet").count() == 8
+    late = df.where("run_id = 'r2'").withColumn("seq", F.col("seq").cast("bigint")).drop("run_id")
+    late.write.parquet(f"{place}/run_id=r2")
+    s.publish_sensor_data(spark, place, "fleet", by_run=True)
+    assert spark.newSession().table("fleet").count() == 12
+    for name in names[2:]:
+        operator = getattr(s, name.removeprefix("fleet_"))
+        expected = sorted(map(tuple, operator(df).collect()), key=repr)
+        assert sorted(map(tuple, spark.newSession().table(name).collect()), key=repr) == expected
+    one = spark.table("fleet").where("run_id = 'r2'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan
