@@ -21,7 +21,10 @@ from soundings.streaming.refresh import compact_outputs
 try:
     import corpus_pipeline
     from soundings.llm import queries as corpus
-except ImportError:
+except ModuleNotFoundError as missing:
+    # Only the subpackage and its pipeline may be absent, not what they depend on.
+    if not (missing.name or "").startswith(("corpus_pipeline", "soundings.llm")):
+        raise
     corpus_pipeline = corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,16 +15,37 @@ _NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 def read_sensor_data(spark: SparkSession, path: str) -> DataFrame:
     """All run files below ``path`` as one table with the canonical columns, matched by name."""
-    return canonical(spark.read.schema(stored_schema(spark, path)).parquet(path))
+    session = reading_session(spark, path)
+    df = canonical(session.read.schema(stored_schema(session, path)).parquet(path))
+    if session is spark:
+        return df
+    # Begun in the caller's session, to which views and writes then belong.
+    return spark.createDataFrame([], df.schema).unionByName(df)
 
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The schema to read sample files with.
+def reading_session(spark: SparkSession, path: str) -> SparkSession:
+    """The session to read sample files with: the caller's, or one like it for nanosecond times.
 
-    64-bit integers fit files of either width, and partition values such as "007" stay text.
-    Nanosecond times are readable only as integers, which this call switches on for the session.
+    These are readable only as integers, which is a setting of a session. The caller's stays as it is.
     """
-    spark.conf.set(_NANOS_AS_LONG, "true")
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as refused:
+        if refused.getCondition() != "PARQUET_TYPE_ILLEGAL":
+            raise
+    else:
+        return spark
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set(_NANOS_AS_LONG, "true")
+    return session
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The schema to read sample files with: 64-bit integers fit files of either width, and
+    partition values such as "007" stay text."""
 
     def readable(field: T.StructField) -> T.StructField:
         if field.name == "run_id":

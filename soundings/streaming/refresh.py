@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from soundings.schema import RUN
 from soundings.sources.catalog import VIEWS
-from soundings.sources.tables import canonical, stored_schema
+from soundings.sources.tables import canonical, reading_session, stored_schema
 
 BUCKETS = 256
 
@@ -61,6 +61,7 @@ def refresh_outputs(
     ``buckets`` counts for the first refresh into ``out_dir``, which fixes it. A bucket should
     hold no more samples than one wants to read again for a late file.
     """
+    spark = reading_session(spark, in_dir)
     schema = stored_schema(spark, in_dir)
 
     def refresh(arrived: DataFrame, batch_id: int) -> None:

@@ -327,3 +327,24 @@ def test_published_views_are_seen_by_any_session(spark, tmp_path):
     one = spark.table("fleet").where("run_id = 'r2'")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan
+
+
+def test_nanoseconds_leave_the_session_alone(spark, tmp_path):
+    times = pa.array([START.timestamp() * 1e9 // 1 + 1500 * n for n in range(2)]).cast(pa.int64())
+    table = pa.table({
+        "timestamp_utc": times.cast(pa.timestamp("ns", tz="UTC")),
+        "seq": pa.array([1, 2], pa.int64()),
+        "run_id": ["a", "a"],
+        "depth_m": [1.0, 2.0],
+    })
+    pq.write_table(table, str(tmp_path / "nanos.parquet"), version="2.6")
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting)
+    df = s.read_sensor_data(spark, str(tmp_path))
+    assert df.sparkSession is spark and spark.conf.get(setting) == before == "false"
+    rows = df.orderBy("seq").collect()
+    assert [r.depth_m for r in rows] == [1.0, 2.0]
+    micros = df.selectExpr("unix_micros(timestamp_utc) % 1000000 AS m").orderBy("m").collect()
+    assert [r.m for r in micros] == [0, 1]
+    s.register_views(spark, df)
+    assert spark.table("sensor_data").count() == 2
