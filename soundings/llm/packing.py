@@ -6,6 +6,7 @@ import math
 import os
 import sys
 import types
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 
 from soundings.llm.common import staged, whole_text
 
-_WORDS_REMEMBERED = 300_000
+_WORDS_REMEMBERED = 400_000
 _TEXTS_AT_ONCE = 256
-_MARKS = (".", ",", ";", ":", "!", "?")
+_MARKS = frozenset(".,;:!?")
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -28,8 +29,9 @@ class _WordIds:
 
     A tokenizer that folds case, never joins what white space or a mark after a letter separates,
     and ends every word with a token of its own kind, as a probe tells, works word by word: ids
-    of words seen are remembered, up to a fixed number, and new words of letters are encoded many
-    at a time. Any other tokenizer gets the whole texts.
+    of words seen are remembered, and new words of letters are encoded many at a time. Any other
+    tokenizer gets the whole texts. Remembered are two generations of a fixed number of words: words
+    of the older that occur again move to the newer, the others are forgotten with it.
     """
 
     def __init__(self, path: str) -> None:
@@ -38,6 +40,7 @@ class _WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -63,19 +66,23 @@ class _WordIds:
         # Bytes fold the case of ASCII letters only.
         folded = [t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") for t in texts]
         split = [t.replace("\n", " ").split(" ") for t in folded]
-        words = set().union(*split)
         if len(self._known) > _WORDS_REMEMBERED:
-            self._known = {w: self._known[w] for w in words if w in self._known}
-        self._learn(words.difference(self._known))
+            self._older, self._known = self._known, {}
+        self._learn(set().union(*split).difference(self._known))
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
     def _learn(self, words: set[str]) -> None:
-        known = self._known
+        known, older = self._known, self._older
         marked, plain, other = [], set(), set()
         for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
             base = word[:-1] if word[-1:] in _MARKS else word
-            if base.isascii() and base.isalpha():
-                if base not in known:
+            if _all_letters(base):
+                if base in older:
+                    known[base] = older[base]
+                elif base not in known:
                     plain.add(base)
                 if base is not word:
                     marked.append((word, base, word[-1]))
@@ -83,14 +90,16 @@ class _WordIds:
                 other.add(word)
         other.update({mark for _, _, mark in marked}.difference(known))
         order = list(plain)
-        ids = np.array(self._ids(" ".join(order)), "<u4")
+        (joined,) = self._tokenizer.encode_batch_fast([" ".join(order)], add_special_tokens=False)
+        ids = np.array(joined.ids, "<u4")
         ends = (np.flatnonzero(self._ends[ids]) + 1) * 4 if len(ids) else []
-        if len(ends) != len(order):
-            raise ValueError("a word of letters must end in one end token")
-        data, start = ids.tobytes(), 0
-        for word, end in zip(order, map(int, ends), strict=True):
-            known[word] = data[start:end]
-            start = end
+        if len(ends) == len(order):
+            data, start = ids.tobytes(), 0
+            for word, end in zip(order, map(int, ends), strict=True):
+                known[word] = data[start:end]
+                start = end
+        else:  # a letter here is none for the tokenizer
+            other |= plain
         rest = list(other)
         for word, encoded in zip(
             rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True
@@ -100,6 +109,13 @@ class _WordIds:
             known[word] = known[base] + known[mark]
 
 
+def _all_letters(word: str) -> bool:
+    """Whether a word is of letters alone, also composed and in lower case."""
+    if word.isascii():
+        return word.isalpha()
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0
 ) -> DataFrame:
