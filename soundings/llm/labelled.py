@@ -16,10 +16,11 @@ def fold(parts: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, most: int
 ) -> DataFrame:
-    """(doc_id, text, y) of at most `most` labels that are `usable`, chosen by a hash.
+    """(doc_id, text, y) of at most `most` labelled documents that are `usable`, chosen by a hash.
 
-    Rows without a label are left out; of several labels for a doc_id the larger counts. The
-    labels joined are `most` at the most, which is what bounds the broadcast.
+    Rows without a label are left out; of several labels for a doc_id the larger counts, and of
+    several rows the least text, so that rows are bounded as labels are. The labels joined are
+    `most` at the most, which is what bounds the broadcast.
     """
     chosen = (
         labels.filter(usable & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -29,4 +30,5 @@ def labelled_sample(
         .limit(most)
     )
     texts = docs.select(F.col("doc_id"), whole_text().alias("text"))
-    return staged(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
+    rows = texts.join(F.broadcast(chosen), "doc_id")
+    return staged(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "labelled")

@@ -274,9 +274,12 @@ def mix_documents(
     """The mix as rows: whole documents, one row for each time one is taken.
 
     As `mix_words`, but a document belongs to the block that holds its middle word, and is taken
-    whole whenever its block is drawn. Adds `shard` and `place`; within each partition rows are
-    sorted by them, `place` being random. A source misses its target by about the size of the
-    documents at block edges, which is much where it has few or very long ones. Columns of `docs` with these names are replaced.
+    whole whenever its block is drawn. All columns of `docs` stay as they are; added are `mix_shard` and
+    `mix_place`, with underscores in front where `docs` has such a name. Within each partition rows are
+    sorted by them, the place being random. A source misses its target by about the size of the
+    documents at block edges, which is much where it has few or very long ones. Null texts and
+    sources count as in `mix_words`, repeated rows are documents of their own, and an empty table
+    gives no rows.
     """
     sizes = docs.select(
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_text"),
@@ -291,10 +294,20 @@ def mix_documents(
     placed = _on_tape(_rows(docs, seed, row), quotas, docs.count())
     placed = placed.withColumn("block", F.expr(_block_at("start + size div 2")))
     place = F.xxhash64(F.lit(seed), "shard", "epoch", "order")
-    kept = [f"row.`{c}`" for c in docs.columns if c not in ("shard", "place")]
+    shard, at = (_free_name(n, docs.columns) for n in ("mix_shard", "mix_place"))
     return (
         placed.join(_checked(plan), ["number", "block"])
         .withColumn("place", place)
         .sortWithinPartitions("shard", "place")
-        .select(*kept, "shard", "place")
+        .select(
+            *[f"row.`{c}`" for c in docs.columns],
+            F.col("shard").alias(shard),
+            F.col("place").alias(at),
+        )
     )
+
+
+def _free_name(name: str, taken: list[str]) -> str:
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name

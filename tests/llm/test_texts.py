@@ -9,10 +9,12 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from soundings.llm import queries
 from soundings.llm.credentials import base_spans, scan_secrets
+from soundings.llm.labelled import labelled_sample
 from soundings.llm.licenses import TEMPLATES, scan_licenses
 from soundings.llm.mixing import block_quotas, draws, mix_documents, mix_words, source_targets
 from soundings.llm.packing import pack, squares_pack
@@ -92,6 +94,16 @@ def test_held_out_accuracy(spark, odd_docs, no_docs, labels, score, label, least
     assert len(score(odd_docs, labels.limit(0)).collect()) == len(ODD)
 
 
+def test_labelled_rows_are_bounded(spark):
+    """As many rows as labels, however often a doc_id is there."""
+    docs = spark.range(3000).selectExpr("1 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, toxic int")
+    (row,) = labelled_sample(docs, labels, "toxic", F.lit(True), 10).collect()
+    assert (row.doc_id, row.text, row.y) == (1, "text 0", 1)
+    many = spark.range(500).selectExpr("id AS doc_id", "'x' AS text", "0 AS toxic")
+    assert labelled_sample(many, many, "toxic", F.lit(True), 10).count() == 10
+
+
 def test_drop_toxic(spark):
     docs, known = (_table(spark, n, "/root/testdata/sf0.1") for n in ("documents", "labels"))
     kept = drop_toxic(docs, known)
@@ -151,7 +163,11 @@ def test_splitting_tree_is_exact(spark):
 def test_mixing_odd_rows(odd_docs, no_docs):
     assert mix_words(odd_docs).count() == len(ODD)
     mixed = mix_documents(odd_docs)
-    assert set(odd_docs.columns) <= set(mixed.columns)
+    assert mixed.columns == [*odd_docs.columns, "mix_shard", "mix_place"]
+    assert mixed.select(*odd_docs.columns).subtract(odd_docs).isEmpty()
+    again = mix_documents(mixed)
+    assert again.columns[-2:] == ["_mix_shard", "_mix_place"]
+    assert again.select(*mixed.columns).subtract(mixed).isEmpty()
     assert mix_words(no_docs).collect() == mix_documents(no_docs).collect() == []
 
 
