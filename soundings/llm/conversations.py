@@ -274,7 +274,7 @@ def repair_report(conversations: DataFrame) -> DataFrame:
     A null role or text counts as one space, null conv_ids are one conversation, null turns add no
     gap, equal rows are counted before they are shuffled, other columns are not read, and an empty
     table gives no rows. A conversation is read by one task as a sorted stream, since its edits make one
-    value; that task holds two bytes or so of each of its rows, and no text.
+    value; that task holds five bytes or so of each of its rows, and no text.
     """
     rows = _seen(_turns(conversations))
     schema, arrow = _arrow(conversations, _REPORT)
