@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,7 +18,8 @@ _SHORT_LINE = 64
 _WIDE = 4
 _ID = ["rank", "at"]
 _KEY = ["h1", "h2"]
-_MET = ["rank", "at", "n", "pos", "parity"]
+_SKETCH = ["parity", *[f"wide_{k}" for k in range(_WIDE)]]
+_MET = [*_ID, "n", "pos", *_SKETCH]
 
 
 def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -125,7 +128,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
 def _by_word(classes: DataFrame, prefix: Column) -> DataFrame:
     """A row per line and word of `prefix`; words are met by 40 bits, which can only add pairs."""
     return classes.select(
-        *_ID, "n", "parity", F.posexplode(prefix).alias("pos", "ranked")
+        *_ID, "n", *_SKETCH, F.posexplode(prefix).alias("pos", "ranked")
     ).select(*_MET, F.col("ranked").bitwiseAND(F.lit((1 << 40) - 1)).alias("word"))
 
 
@@ -162,17 +165,20 @@ def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column
     words = F.sort_array(F.transform(F.array_distinct(hashes), rank))
     n = F.size("words")
     reach = n - F.ceil(n * threshold - 1e-9) + 1
-    wide = F.array(*[_parity(of_wide=k) for k in range(_WIDE)])
+    wide = [F.when(n > _SHORT_LINE, _parity(of_wide=k)).alias(f"wide_{k}") for k in range(_WIDE)]
     # Sketches and prefixes are shuffled, not texts: they are smaller.
     told = texts.select(*_KEY, words.alias("words")).select(
         *_KEY,
         n.alias("n"),
-        _parity().alias("parity"),
-        F.when(n > _SHORT_LINE, wide).alias("wide"),
+        F.when(n <= _SHORT_LINE, _parity()).alias("parity"),
+        *wide,
         F.slice("words", F.lit(1), reach.cast("int")).alias("prefix"),
     )
+    # The parts of the wide sketch make up the narrow one.
+    parts = reduce(lambda a, b: a.bitwiseXOR(b), [F.col(f"wide_{k}") for k in range(_WIDE)])
+    told = told.withColumn("parity", F.coalesce("parity", parts))
     return told.dropDuplicates(_KEY).join(firsts, _KEY).select(
-        *_KEY, "first.rank", "first.at", "n", "parity", "wide", "prefix"
+        *_KEY, "first.rank", "first.at", "n", *_SKETCH, "prefix"
     )
 
 
@@ -207,11 +213,15 @@ def _may_match(threshold: float) -> Column:
     needed = _needed(both, threshold)
     before = F.least("pos", "other_pos")
     after = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
-    differing = F.bit_count(F.col("parity").bitwiseXOR(F.col("other_parity")))
+    differing = {c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in _SKETCH}
+    wide = sum(differing[c] for c in _SKETCH[1:])
+    most = both - 2 * needed
     same = F.col("other_rank") == F.col("rank")
     earlier = (F.col("other_rank") < F.col("rank")) | (same & (F.col("other_at") < F.col("at")))
     return (
-        (differing <= both - 2 * needed)
+        (differing["parity"] <= most)
+        # A short line has no wide sketch and passes.
+        & F.coalesce(wide <= most, F.lit(True))
         & (before + after >= needed)
         & (F.least("n", "other_n") >= F.greatest("n", "other_n") * threshold - 1e-9)
         & earlier
@@ -223,20 +233,11 @@ def _verified(
 ) -> DataFrame:
     """(rank, at) of the lines in `met` whose word sets really are similar to the other's."""
     pairs = met.select(*_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2"))
-    pairs = staged(pairs, "line-met-pairs")
-    line = classes.select(*_ID, *_KEY, "n", "wide")
-    other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2", "n n2", "wide wide2")
-    differing = sum(
-        F.bit_count(F.col("wide")[k].bitwiseXOR(F.col("wide2")[k])) for k in range(_WIDE)
-    )
-    both = F.col("n") + F.col("n2")
+    pairs = staged(pairs.distinct(), "line-met-pairs")
+    line = classes.select(*_ID, *_KEY)
+    other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2")
     near = staged(
-        pairs.join(line, _ID)
-        .join(other, ["r2", "a2"])
-        # A short line has no wide sketch and passes.
-        .filter(F.coalesce(differing <= both - 2 * _needed(both, threshold), F.lit(True)))
-        .select(*_ID, *_KEY, "k1", "k2")
-        .distinct(),
+        pairs.join(line, _ID).join(other, ["r2", "a2"]).select(*_ID, *_KEY, "k1", "k2"),
         "line-pairs",
     )
     wanted = staged(near.select(*_KEY).union(near.select("k1", "k2")).distinct(), "line-wanted")
