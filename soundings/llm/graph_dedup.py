@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 from soundings.llm.common import components, staged
 
 
+#: Ids remembered per query of a search: its memory is the same for shards of any size.
+_SLOTS = 8192
+
+
+def _among(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """For every number of a row of `ids`, whether the same row of `known` has it."""
+    order = np.sort(known, axis=1)
+    row = np.arange(len(ids))[:, None]
+    span = max(int(ids.max(initial=0)), int(order.max(initial=0))) + 2
+    flat = (order + row * span).ravel()
+    wanted = ids + row * span
+    at = np.minimum(np.searchsorted(flat, wanted), len(flat) - 1)
+    return flat[at] == wanted
+
+
 class SmallWorld:
     """A hierarchical navigable small-world graph over unit vectors.
 
@@ -89,14 +104,17 @@ class SmallWorld:
         n = len(queries)
         ids = np.full((n, beam), -1, np.int64)
         near = np.full((n, beam), -np.inf, np.float32)
-        seen = np.zeros((n, len(self.points)), bool)
+        # What each query met last, by a slot of the id. A point met again after its slot was
+        # taken is compared again; one still in the beam is left out below.
+        slots = min(_SLOTS, len(self.points))
+        seen = np.full((n, slots), -1, np.int32)
         fresh = np.zeros((n, beam), bool)
         entry = entry.reshape(1, -1).repeat(n, 0) if entry.ndim == 1 else entry
         rows = np.arange(n)
         ids[:, : entry.shape[1]] = entry
         near[:, : entry.shape[1]] = np.einsum("nkd,nd->nk", self.points[entry], queries)
         fresh[:, : entry.shape[1]] = True
-        seen[rows[:, None], entry] = True
+        seen[rows[:, None], entry % slots] = entry
         steps = min(beam, 4)
         while len(rows):
             mine = np.where(fresh[rows], near[rows], -np.inf)
@@ -112,10 +130,12 @@ class SmallWorld:
             next_.sort(axis=1)
             valid = next_ >= 0
             valid[:, 1:] &= next_[:, 1:] != next_[:, :-1]
-            valid &= ~seen[rows[:, None], np.maximum(next_, 0)]
+            valid &= seen[rows[:, None], np.maximum(next_, 0) % slots] != next_
+            if slots < len(self.points):
+                valid &= ~_among(next_, ids[rows])
             at, where = np.nonzero(valid)
             targets = next_[at, where]
-            seen[rows[at], targets] = True
+            seen[rows[at], targets % slots] = targets
             similar = np.full(next_.shape, -np.inf, np.float32)
             similar[at, where] = np.einsum(
                 "kd,kd->k", self.points[targets], queries[rows[at]], optimize=True
@@ -146,7 +166,7 @@ class SmallWorld:
         pending = np.arange(len(queries))
         while len(pending):
             again = []
-            step = max(16, min(512, 2_000_000 // max(1, len(self.points) + 40 * beam)))
+            step = max(16, min(512, 4_000_000 // (_SLOTS + 40 * beam)))
             for at in range(0, len(pending), step):
                 own = pending[at : at + step]
                 ids, near = self.search(queries[own], beam)
@@ -160,31 +180,61 @@ class SmallWorld:
 
 
 def _audited(
-    graph: SmallWorld, queries: np.ndarray, least: float, beam: int, audit: int, recall: float
+    graph: SmallWorld,
+    queries: np.ndarray,
+    own: np.ndarray,
+    least: float,
+    beam: int,
+    audit: int,
+    recall: float,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Searches with wider beams until a sample compared with every point reaches `recall`."""
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
-    true = queries[sample] @ graph.points.T >= least
+    """Searches with wider beams until a sample compared with every point reaches `recall`.
+
+    `own` is the place of each query among the points, -1 where it is none of them: that a query
+    finds itself counts for nothing. Half of the sample is spread over the queries, half over
+    those that found another point, so that links are measured wherever there are some.
+    """
+    sample = true = None
     while True:
         pairs = graph.within(queries, least, beam)
         asked = np.concatenate([p[0] for p in pairs])
         reached = np.concatenate([p[1] for p in pairs])
+        others = reached != own[asked]
+        asked, reached = asked[others], reached[others]
+        if sample is None:
+            linked = np.unique(asked)
+            sample = np.union1d(
+                _spread_over(np.arange(len(queries)), audit // 2), _spread_over(linked, audit // 2)
+            )
+            true = queries[sample] @ graph.points.T >= least
+            member = np.flatnonzero(own[sample] >= 0)
+            true[member, own[sample[member]]] = False
         known = np.isin(asked, sample)
         hits = np.zeros_like(true)
         hits[np.searchsorted(sample, asked[known]), reached[known]] = True
-        wanted = true.sum()
-        if not wanted or (hits & true).sum() >= recall * wanted or beam >= len(graph.points):
+        if (hits & true).sum() >= recall * true.sum() or beam >= len(graph.points):
             return asked, reached
         beam *= 2
 
 
+def _spread_over(places: np.ndarray, most: int) -> np.ndarray:
+    if len(places) <= most:
+        return places
+    return places[np.linspace(0, len(places) - 1, most).astype(int)]
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest number near one."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = _scaled(a), _scaled(b)
     return np.einsum("nd,nd->n", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    scale = np.abs(vectors).max(axis=1, keepdims=True)
-    vectors = vectors / scale
+    vectors = _scaled(vectors)
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -202,8 +252,9 @@ def embedding_links(
     Equal vectors form one class. The classes are dealt to `shards`; each shard builds a graph,
     which is stored, and every class queries the graph of every shard, in blocks of about `block`
     queries. A beam that holds nothing but links widens, and so does every beam of a block until
-    `audit` of its queries, compared with the whole shard, reach `recall`. Pairs are verified in
-    double precision. A task returns counts and a spanning forest, never a list of pairs.
+    `audit` of its queries, compared with the whole shard, reach `recall` of their links to other
+    vectors; where these have none, nothing was measured. Pairs are verified in double precision,
+    whatever the magnitude of the numbers. A task returns counts and a spanning forest, never a list of pairs.
 
     Returns vec_id, n_links, component_id (smallest vec_id reachable) and kept. Vectors that are
     null, empty or zero, or hold a null or a number that is not finite, link with nothing; vectors
@@ -312,9 +363,11 @@ def _comparison(threshold: float, beam: int, audit: int, recall: float) -> Calla
         held = held.sort_values("node").reset_index(drop=True)
         points, queries = (np.array(t["vector"].tolist()) for t in (held, asked))
         graph = _restored(held, _unit(points))
-        a, b = _audited(graph, _unit(queries), threshold - 1e-4, beam, audit, recall)
         from_, to = asked["node"].to_numpy(), held["node"].to_numpy()
-        close = from_[a] != to[b]
+        own = np.minimum(np.searchsorted(to, from_), len(to) - 1)
+        own = np.where(to[own] == from_, own, -1)
+        a, b = _audited(graph, _unit(queries), own, threshold - 1e-4, beam, audit, recall)
+        close = np.ones(len(a), bool)
         for at in range(0, len(a), 100_000):
             part = slice(at, at + 100_000)
             close[part] &= _cosine(queries[a[part]], points[b[part]]) >= threshold

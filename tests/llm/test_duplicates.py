@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from soundings.llm import graph_dedup
 from soundings.llm.common import components
 from soundings.llm.exact_dedup import drop_exact_copies, exact_groups
-from soundings.llm.graph_dedup import SmallWorld, _unit, embedding_links
+from soundings.llm.graph_dedup import SmallWorld, _audited, _unit, embedding_links
 from soundings.llm.line_dedup import drop_similar_lines, similar_lines
 from soundings.llm.ngram_join import bands_and_rows, drop_near_copies, ngram_links
 from tests.llm.conftest import ODD
@@ -171,6 +172,39 @@ def test_embedding_links(spark):
     assert embedding_links(table.limit(0)).collect() == []
 
 
+def test_links_of_large_and_small_numbers(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i, size in enumerate((1e200, 1e-200, 1e308, 5e-300, 1.0)):
+        vector = rng.uniform(0.5, 1, 16) * rng.choice([-1, 1], 16)
+        rows += [(2 * i, (vector * size).tolist()), (2 * i + 1, (vector * size / 3).tolist())]
+    found = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found.collect()} == {
+        i: (1, i - i % 2) for i in range(10)
+    }
+
+
+def test_audit_counts_links_to_others_only():
+    """A search that finds nothing but the query itself has to widen its beam."""
+    rng = np.random.default_rng(9)
+    points = _unit(np.repeat(rng.normal(size=(60, 16)), 5, axis=0) + rng.normal(0, 0.1, (300, 16)))
+    graph, own = SmallWorld(points), np.arange(300)
+    asked, reached = _audited(graph, points, own, 0.9, 2, 64, 0.99)
+    assert not (asked == reached).any()
+    true = points @ points.T >= 0.9
+    assert len(asked) >= 0.98 * (true.sum() - 300) > 0
+
+
+def test_ids_forgotten_by_a_search_are_not_found_twice(monkeypatch):
+    points = _unit(np.random.default_rng(2).normal(size=(900, 12)))
+    graph = SmallWorld(points)
+    wide, _ = graph.search(points[:50], 48)
+    monkeypatch.setattr(graph_dedup, "_SLOTS", 7)
+    ids, _ = graph.search(points[:50], 48)
+    assert [sorted(r) for r in ids.tolist()] == [sorted(r) for r in wide.tolist()]
+    assert all(len(set(r)) == 48 for r in ids.tolist())
+
+
 def test_graph_recall():
     points = _unit(np.random.default_rng(2).normal(size=(1500, 24)))
     graph = SmallWorld(points)
