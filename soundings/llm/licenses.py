@@ -34,12 +34,41 @@ TEMPLATES = {
         "The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."
     ),
+    "MIT/warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+        "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
+    "MIT/use": "This project uses the MIT license",
     "GPL-3.0/statement": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0/notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version."
     ),
+    "GPL-2.0/notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version."
+    ),
+    "LGPL-2.1/notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0/notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version."
+    ),
+    "MPL-2.0/notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/."
+    ),
     "CC-BY-NC-4.0/statement": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0/statement": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License."
@@ -50,15 +79,57 @@ TEMPLATES = {
         "must retain the above copyright notice, this list of conditions and the following "
         "disclaimer."
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution."
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: 1. Redistributions of source "
+        "code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. 3. Neither the name of the copyright holder nor "
+        "the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission."
+    ),
+    "BSD/warranty": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+        "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT "
+        "OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+        "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this "
         "permission notice appear in all copies."
     ),
+    "ISC/warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO "
+        "THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO "
+        "EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+        "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
 }
 _WORD = re.compile(r"\w+")
 
 
+def _words(text: str) -> list[str]:
+    """Words as they stand, then folded, so that they have the places of `_WORD` in the text."""
+    return [word.lower() for word in _WORD.findall(text)]
+
+
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= 500_000:
@@ -91,7 +162,7 @@ class TemplateIndex:
     def __init__(self, templates: Mapping[str, str], k: int) -> None:
         hashes = _WordHashes()
         self.names = list(templates)
-        self.words = [_WORD.findall(text.lower()) for text in templates.values()]
+        self.words = [_words(text) for text in templates.values()]
         self.places: dict[int, list[tuple[int, int]]] = {}
         for number, words in enumerate(self.words):
             for at, gram in enumerate(_grams(words, k, hashes).tolist()):
@@ -132,8 +203,7 @@ def matches_of(
     text: str, index: TemplateIndex, k: int, window: int, band: int, coverage: float, hashes: dict
 ) -> list[tuple[str, int, int, float]]:
     """(license, start, end, coverage) of the statements in a text, in code points."""
-    lower = text.lower()
-    words = _WORD.findall(lower)
+    words = _words(text)
     grams = _grams(words, k, hashes)
     places = winnowed(grams, window)
     places = places[np.isin(grams[places], index.grams)]
@@ -154,13 +224,11 @@ def matches_of(
         share = matched / len(template)
         if share >= coverage:
             found.append((-matched, number, low + first, low + last, share))
-    spans = [m.span() for m in _WORD.finditer(lower)] if len(lower) == len(text) else [
-        m.span() for m in _WORD.finditer(text)
-    ]
+    spans = [m.span() for m in _WORD.finditer(text)] if found else []
     taken: list[tuple[str, int, int, float]] = []
     used = np.zeros(len(words), bool)
     for _, number, first, last, share in sorted(found):
-        if not used[first:last].any() and last <= len(spans):
+        if not used[first:last].any():
             used[first:last] = True
             taken.append((index.names[number], spans[first][0], spans[last - 1][1], share))
     return sorted(taken, key=lambda t: t[1:])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -15,7 +17,14 @@ import corpus_pipeline
 from soundings.llm import queries
 from soundings.llm.credentials import base_spans, scan_secrets
 from soundings.llm.labelled import labelled_sample
-from soundings.llm.licenses import TEMPLATES, scan_licenses
+from soundings.llm.licenses import (
+    TEMPLATES,
+    TemplateIndex,
+    _WordHashes,
+    banded_alignment,
+    matches_of,
+    scan_licenses,
+)
 from soundings.llm.mixing import block_quotas, draws, mix_documents, mix_words, source_targets
 from soundings.llm.packing import pack, squares_pack
 from soundings.llm.quality import isotonic, score_quality
@@ -75,6 +84,38 @@ def test_licenses_survive_changes(spark):
     assert found[3].n_matches == found[4].n_matches == 0
 
 
+def test_licenses_are_found_wherever_they_stand():
+    """Every template, cut off from its surroundings by other words, gives its own span."""
+    index = TemplateIndex(TEMPLATES, 3)
+    rng = random.Random(4)
+    other = [f"w{i}" for i in range(50)] + ["İstanbul", "İzmir", "ǅ", "the", "license", "of"]
+    for name, template in TEMPLATES.items():
+        for before in range(12):
+            words = [" ".join(rng.choices(other, k=n)) for n in (before, 9)]
+            text = f"{words[0]} w0 {template} w1 {words[1]}"
+            start, end = (m.span() for m in (re.search(r"\w", template), re.search(r"\w\W*$", template)))
+            at = len(words[0]) + 4
+            found = matches_of(text, index, 3, 2, 8, 0.8, _WordHashes())
+            assert [(n, s, e) for n, s, e, _ in found] == [(name, at + start[0], at + end[0] + 1)], name
+
+
+def test_alignment_is_the_best_there_is():
+    """Against all pairs of places, for strings short enough to lie within the band."""
+    rng = random.Random(7)
+    for _ in range(200):
+        a, b = (rng.choices("abc", k=rng.randint(1, 9)) for _ in range(2))
+        best = 0
+        score = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                near = score[i - 1][j - 1] + (1 if x == y else -1)
+                score[i][j] = max(0, near, score[i - 1][j] - 1, score[i][j - 1] - 1)
+                best = max(best, score[i][j])
+        matched, first, last = banded_alignment(a, b, 0, 20)
+        assert matched >= best
+        assert (last - first >= matched) and (best > 0) == (matched > 0)
+
+
 def test_folding():
     assert folded("Yоu 1D10T!") == " you idioti "
     assert folded("") == "  "
