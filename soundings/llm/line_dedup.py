@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,9 @@ _BUCKETS = 16_384
 _BROADCAST_LINES = 1_000_000
 #: Lines with more words have a second sketch of so many longs, as 64 bits tell them little.
 _SHORT_LINE = 64
-_WIDE = 4
+_WIDE = 2
+#: The words by which lines meet are dealt to so many rounds.
+_ROUNDS = 3
 _ID = ["rank", "at"]
 _KEY = ["h1", "h2"]
 _SKETCH = ["parity", *[f"wide_{k}" for k in range(_WIDE)]]
@@ -32,8 +35,8 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     Words are ordered by rarity, told from counts in a fixed number of hash buckets; similar lines
     share one of the first words in that order. Each line is first compared with the earliest line
-    of each word in the front half of these, and only lines that match none of these with all earlier ones, so
-    that groups of copies make no list of pairs. Pairs pass a length, a positional and a parity
+    of each word in the front half of these, and only lines that match none of these with all
+    earlier ones, so that groups of copies make no list of pairs. Pairs pass a length, a positional and a parity
     filter, with more bits for longer lines, before their word sets are compared. Lines are told
     apart by 128 bits of hashes.
 
@@ -44,18 +47,18 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         "rank", "at", "line.h1", "line.h2"
     )
     classes = staged(_classes(docs, lines, threshold, _rarity(docs)), "line-classes")
-    first = _by_word(classes, F.col("prefix"))
-    front = _by_word(
-        classes, F.slice("prefix", F.lit(1), F.ceil(F.size("prefix") / 2).cast("int"))
+    half = F.slice("prefix", F.lit(1), F.ceil(F.size("prefix") / 2).cast("int"))
+    resolved = staged(
+        _verified(docs, classes, _met_in_rounds(_with_leaders, classes, half, threshold), threshold),
+        "line-led",
     )
-    leaders = front.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
-    leaders = leaders.select("word", *[F.col(f"other.{c}").alias(f"other_{c}") for c in _MET])
-    met = front.join(leaders, "word").filter(_may_match(threshold))
-    resolved = staged(_verified(docs, classes, met, threshold), "line-led")
-    rest = first.join(resolved, _ID, "left_anti")
-    earlier = first.select("word", *[F.col(c).alias(f"other_{c}") for c in _MET])
-    met = rest.join(earlier, "word").filter(_may_match(threshold))
-    more = staged(_verified(docs, classes, met, threshold), "line-met")
+
+    def with_earlier(first: DataFrame) -> DataFrame:
+        rest = first.join(resolved, _ID, "left_anti")
+        return rest.join(first.select("word", *[F.col(c).alias(f"other_{c}") for c in _MET]), "word")
+
+    met = _met_in_rounds(with_earlier, classes, F.col("prefix"), threshold)
+    more = staged(_verified(docs, classes, met, threshold), "line-more")
     similar = resolved.union(more).withColumn("similar", F.lit(True))
     told = classes.join(similar, _ID, "left").select(
         *_KEY, F.struct(*_ID).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
@@ -132,6 +135,31 @@ def _by_word(classes: DataFrame, prefix: Column) -> DataFrame:
     ).select(*_MET, F.col("ranked").bitwiseAND(F.lit((1 << 40) - 1)).alias("word"))
 
 
+def _with_leaders(front: DataFrame) -> DataFrame:
+    leaders = front.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
+    leaders = leaders.select("word", *[F.col(f"other.{c}").alias(f"other_{c}") for c in _MET])
+    return front.join(leaders, "word")
+
+
+def _met_in_rounds(
+    meet: Callable[[DataFrame], DataFrame], classes: DataFrame, prefix: Column, threshold: float
+) -> DataFrame:
+    """(rank, at, r2, a2) of lines met at a word of `prefix` that may match.
+
+    A fixed share of the words is shuffled at a time and its pairs are stored, so that scratch
+    disks never hold all postings.
+    """
+    postings = _by_word(classes, prefix)
+    rounds = []
+    for k in range(_ROUNDS):
+        some = postings.filter(F.pmod("word", F.lit(_ROUNDS)) == k)
+        met = meet(some).filter(_may_match(threshold)).select(
+            *_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2")
+        )
+        rounds.append(staged(met.distinct(), "line-met"))
+    return reduce(DataFrame.union, rounds)
+
+
 def _rarity(docs: DataFrame) -> Column:
     """For each bucket of words, how often its words occur, as 64 times the binary logarithm."""
     words = docs.select(F.explode(F.split(F.translate(whole_text(), "\n", " "), " ")).alias("word"))
@@ -152,7 +180,7 @@ def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column
     A line of n words can only match one that has a word in common with its first
     n - ceil(threshold * n) + 1. The parity sketch has bit b set if an odd number of its words
     fall on b, so two sketches differ in no more bits than the sets in words. The wide one of
-    longer lines has the same property with four times the bits.
+    longer lines has the same property with twice the bits.
     """
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
     texts = texts.filter(F.trim("text") != "")
@@ -229,15 +257,13 @@ def _may_match(threshold: float) -> Column:
 
 
 def _verified(
-    docs: DataFrame, classes: DataFrame, met: DataFrame, threshold: float
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float
 ) -> DataFrame:
-    """(rank, at) of the lines in `met` whose word sets really are similar to the other's."""
-    pairs = met.select(*_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2"))
-    pairs = staged(pairs.distinct(), "line-met-pairs")
+    """(rank, at) of the lines in `pairs` whose word sets really are similar to the other's."""
     line = classes.select(*_ID, *_KEY)
     other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2")
     near = staged(
-        pairs.join(line, _ID).join(other, ["r2", "a2"]).select(*_ID, *_KEY, "k1", "k2"),
+        pairs.distinct().join(line, _ID).join(other, ["r2", "a2"]).select(*_ID, *_KEY, "k1", "k2"),
         "line-pairs",
     )
     wanted = staged(near.select(*_KEY).union(near.select("k1", "k2")).distinct(), "line-wanted")
