@@ -12,8 +12,10 @@ from soundings.llm.common import staged, whole_text
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _SOURCE = ["source_text", "source_none"]
-#: Above this many blocks the table of blocks is no longer broadcast but joined by key.
-_BROADCAST_BLOCKS = 200_000
+#: Above this many numbers the table of blocks is no longer broadcast but joined by key.
+_BROADCAST_BLOCKS = 1_000_000
+#: About as many rows of a shard are shuffled together.
+_ROWS_PER_SLICE = 8192
 
 
 def word_count(text: Column) -> Column:
@@ -64,74 +66,60 @@ def block_quotas(targets: DataFrame, blocks: int, most_repeats: int) -> DataFram
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """(number, shard, from_draw, to_draw): which draws of each source a shard gets.
 
-    A node of the tree holds a count of draws per source. Half of the node's draws, chosen
-    without replacement from all of them, go to one child: one after another, a draw is chosen
-    with the number still wanted over the number still left, which makes the counts of a child
+    A node of the tree holds a count of draws per source, one row each. Half of the node's draws,
+    chosen without replacement from all of them, go to one child, which makes the counts of a child
     multivariate hypergeometric and its total exact.
     """
-    levels = max(0, math.ceil(math.log2(shards)))
-    node = quotas.agg(
-        F.array_sort(F.collect_list(F.struct("number", "quota"))).alias("sources")
-    ).select(F.lit(0).cast("long").alias("shard"), "sources.number", "sources.quota")
-    for _ in range(levels):
-        wanted = F.floor(_total("quota") / 2).cast("long")
-        node = node.withColumn("chosen", _chosen("quota", "shard", wanted, seed))
-        rest = F.zip_with("quota", "chosen", lambda all_, own: all_ - own)
-        node = node.select(
-            "number",
-            F.explode(
-                F.array(
-                    F.struct((F.col("shard") * 2).alias("shard"), F.col("chosen").alias("quota")),
-                    F.struct((F.col("shard") * 2 + 1).alias("shard"), rest.alias("quota")),
-                )
-            ).alias("child"),
-        ).select("number", "child.shard", "child.quota")
-    pairs = node.select("shard", F.explode(F.arrays_zip("number", "quota")).alias("of"))
-    pairs = pairs.select("shard", "of.number", "of.quota")
+    node = quotas.select("number", F.lit(0).cast("long").alias("shard"), "quota")
+    for _ in range(_levels(shards)):
+        node = staged(_halved(node, seed), "mix-node")
     upto = F.sum("quota").over(W.partitionBy("number").orderBy("shard"))
-    return pairs.select(
+    return node.select(
         "number", "shard", (upto - F.col("quota")).alias("from_draw"), upto.alias("to_draw")
     )
 
 
-def _total(quotas: str) -> Column:
-    return F.aggregate(quotas, F.lit(0).cast("long"), lambda a, b: a + b)
-
+def _levels(shards: int) -> int:
+    """The levels of a tree with at least `shards` leaves."""
+    return max(0, math.ceil(math.log2(shards)))
 
-def _chosen(quotas: str, node: str, wanted: Column, seed: int) -> Column:
-    def state(left: Column, wanted: Column, taken: Column) -> Column:
-        return F.struct(left.alias("left"), wanted.alias("wanted"), taken.alias("taken"))
 
-    def one(node: Column):
-        def step(s: Column, draw: Column) -> Column:
-            dice = F.pmod(F.xxhash64(F.lit(seed), node, s["left"], draw), s["left"])
-            hit = (dice < s["wanted"]).cast("long")
-            return state(s["left"] - 1, s["wanted"] - hit, s["taken"] + hit)
+def _halved(node: DataFrame, seed: int) -> DataFrame:
+    """(number, shard, quota) of the two children of every node.
 
-        return step
-
-    def per_source(acc: Column, quota: Column) -> Column:
-        draws = F.when(quota > 0, F.sequence(F.lit(1).cast("long"), quota)).otherwise(
-            F.array().cast("array<bigint>")
-        )
-        start = state(acc["left"], acc["wanted"], F.lit(0).cast("long"))
-        after = F.aggregate(draws, start, one(F.col(node)))
-        return F.aggregate(
-            F.array(after),
-            acc,
-            lambda a, s: F.struct(
-                s["left"].alias("left"),
-                s["wanted"].alias("wanted"),
-                F.concat(a["chosen"], F.array(s["taken"])).alias("chosen"),
+    The draws of a node are put in random order and its first half chosen. Places are counted in
+    two steps, within 4,096 ranges of the random number and over these, so no task orders a node.
+    """
+    one_by_one = node.filter("quota > 0").select(
+        "number", "shard", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("draw")
+    )
+    dice = F.xxhash64(F.lit(seed), "shard", "number", "draw")
+    thrown = one_by_one.withColumn("dice", dice).withColumn("range", F.shiftright("dice", 52))
+    ranges = thrown.groupBy("shard", "range").agg(F.count("*").alias("here"))
+    of_node = W.partitionBy("shard")
+    before = F.sum("here").over(of_node.orderBy("range")) - F.col("here")
+    ranges = ranges.select(
+        "shard", "range", before.alias("before"), F.sum("here").over(of_node).alias("total")
+    )
+    within = W.partitionBy("shard", "range").orderBy("dice", "number", "draw")
+    place = F.col("before") + F.row_number().over(within)
+    first = thrown.join(ranges, ["shard", "range"]).select(
+        "number", "shard", (place <= F.expr("total div 2")).cast("long").alias("first")
+    )
+    chosen = first.groupBy("number", "shard").agg(F.sum("first").alias("chosen"))
+    children = node.join(chosen, ["number", "shard"], "left").select(
+        "number", "shard", "quota", F.coalesce("chosen", F.lit(0)).cast("long").alias("chosen")
+    )
+    child = F.explode(
+        F.array(
+            F.struct((F.col("shard") * 2).alias("shard"), F.col("chosen").alias("quota")),
+            F.struct(
+                (F.col("shard") * 2 + 1).alias("shard"),
+                (F.col("quota") - F.col("chosen")).alias("quota"),
             ),
         )
-
-    first = F.struct(
-        _total(quotas).alias("left"),
-        wanted.alias("wanted"),
-        F.array().cast("array<bigint>").alias("chosen"),
     )
-    return F.aggregate(quotas, first, per_source, lambda acc: acc["chosen"])
+    return children.select("number", child.alias("child")).select("number", "child.*")
 
 
 def draws(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -197,9 +185,35 @@ def _rows(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
     )
 
 
-def _checked(blocks: DataFrame) -> DataFrame:
-    """For the smaller side of a join: broadcast if its counted rows are few."""
-    return F.broadcast(blocks) if blocks.count() <= _BROADCAST_BLOCKS else blocks
+def _checked(blocks: DataFrame, width: int = 1) -> DataFrame:
+    """For the smaller side of a join: broadcast if its counted rows, of `width` numbers, are few."""
+    return F.broadcast(blocks) if blocks.count() * width <= _BROADCAST_BLOCKS else blocks
+
+
+def _tape(quotas: DataFrame, drawn: DataFrame, shards: int) -> DataFrame:
+    """(number, block, first, times, before): each block's first word, and in arrays by shard how often
+    the shard drew it and how many words of the blocks before it the shard takes."""
+    every = quotas.filter("blocks > 0").select(
+        "number", "blocks", "source_size",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+    )
+    first = F.expr("(block * source_size) div blocks")
+    words = F.expr("((block + 1) * source_size) div blocks") - first
+    every = every.select("number", "block", first.alias("first"), words.alias("words"))
+    in_shard = drawn.groupBy("number", "block", "shard").agg(F.count("*").alias("times"))
+    every = every.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1))))
+    every = every.join(in_shard, ["number", "block", "shard"], "left").fillna(0, ["times"])
+    taken = F.col("times") * F.col("words")
+    upto = F.sum(taken).over(W.partitionBy("number", "shard").orderBy("block")) - taken
+    return (
+        every.withColumn("before", upto)
+        .groupBy("number", "block")
+        .agg(
+            F.first("first").alias("first"),
+            F.array_sort(F.collect_list(F.struct("shard", "times", "before"))).alias("shards"),
+        )
+        .select("number", "block", "first", "shards.times", "shards.before")
+    )
 
 
 def mix_words(
@@ -214,9 +228,11 @@ def mix_words(
 
     Every source's words, its documents in a permuted order, are cut into `blocks` equal blocks
     (one word each at least), so a block may begin or end inside a document. Quotas are whole
-    numbers of blocks, off the target by half a block at most.
+    numbers of blocks, off the target by half a block at most. The tree deals them to the shards, and
+    each shard takes the words of the blocks it draws.
 
-    Returns doc_id, size, source_size, target, taken. Null texts have no words, null sources are
+    Returns doc_id, size, source_size, target, taken and shard_taken: the words each shard takes, of
+    which taken is the sum (no entries where the source has no words). Null texts have no words, null sources are
     one source, the last; null and repeated doc_ids and repeated rows are documents of their own.
     Where all texts are empty nothing is taken. An empty table gives no rows.
     """
@@ -224,24 +240,8 @@ def mix_words(
     quotas = staged(
         block_quotas(source_targets(rows, weights, most_repeats), blocks, most_repeats), "quotas"
     )
-    times = (
-        draws(quotas, shards, seed)
-        .groupBy("number", "block")
-        .agg(F.count("*").alias("times"))
-    )
-    every = quotas.filter("blocks > 0").select(
-        "number", "blocks", "source_size",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-    )
-    first = F.expr("(block * source_size) div blocks")
-    words = F.expr("((block + 1) * source_size) div blocks") - first
-    every = every.join(times, ["number", "block"], "left").select(
-        "number", "block", first.alias("first"), words.alias("words"),
-        F.coalesce("times", F.lit(0)).alias("times"),
-    )
-    drawn = F.col("times") * F.col("words")
-    upto = F.sum(drawn).over(W.partitionBy("number").orderBy("block")) - drawn
-    tape = staged(every.select("number", "block", "first", "times", upto.alias("before")), "tape")
+    shards = 2 ** _levels(shards)
+    tape = staged(_tape(quotas, staged(draws(quotas, shards, seed), "draws"), shards), "tape")
     placed = _on_tape(rows, quotas, rows.count())
     for edge, word in (("left", "start"), ("right", "start + size")):
         at = tape.select(
@@ -250,16 +250,21 @@ def mix_words(
             F.struct("first", "times", "before").alias(edge),
         )
         placed = placed.withColumn(f"{edge}_block", F.expr(_block_at(word))).join(
-            _checked(at), ["number", f"{edge}_block"], "left"
+            _checked(at, shards), ["number", f"{edge}_block"], "left"
         )
 
-    def taken(edge: str, word: str) -> Column:
-        return F.expr(f"{edge}.before + {edge}.times * ({word} - {edge}.first)")
+    def upto(edge: str, word: str) -> str:
+        return f"{edge}.before[i] + {edge}.times[i] * ({word} - {edge}.first)"
 
-    taken_words = taken("right", "start + size") - taken("left", "start")
+    of_shard = f"{upto('right', 'start + size')} - ({upto('left', 'start')})"
+    in_shards = F.expr(f"transform(sequence(0, size(left.times) - 1), i -> {of_shard})")
     return placed.select(
         "doc_id", "size", "source_size", "target",
-        F.coalesce(taken_words, F.lit(0)).alias("taken"),
+        F.coalesce(in_shards, F.array().cast("array<bigint>")).alias("shard_taken"),
+    ).select(
+        "doc_id", "size", "source_size", "target",
+        F.aggregate("shard_taken", F.lit(0).cast("long"), lambda a, b: a + b).alias("taken"),
+        "shard_taken",
     )
 
 
@@ -275,8 +280,8 @@ def mix_documents(
 
     As `mix_words`, but a document belongs to the block that holds its middle word, and is taken
     whole whenever its block is drawn. All columns of `docs` stay as they are; added are `mix_shard` and
-    `mix_place`, with underscores in front where `docs` has such a name. Within each partition rows are
-    sorted by them, the place being random. A source misses its target by about the size of the
+    `mix_place`, with underscores in front where `docs` has such a name. The rows of a shard are brought
+    together, in slices of its random places where it has many, and each slice is sorted by place. A source misses its target by about the size of the
     documents at block edges, which is much where it has few or very long ones. Null texts and
     sources count as in `mix_words`, repeated rows are documents of their own, and an empty table
     gives no rows.
@@ -291,14 +296,17 @@ def mix_documents(
     )
     plan = staged(draws(quotas, shards, seed), "draws")
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    placed = _on_tape(_rows(docs, seed, row), quotas, docs.count())
+    total = docs.count()
+    placed = _on_tape(_rows(docs, seed, row), quotas, total)
     placed = placed.withColumn("block", F.expr(_block_at("start + size div 2")))
+    slices = max(1, math.ceil(total / (_ROWS_PER_SLICE * 2 ** _levels(shards))))
     place = F.xxhash64(F.lit(seed), "shard", "epoch", "order")
     shard, at = (_free_name(n, docs.columns) for n in ("mix_shard", "mix_place"))
     return (
         placed.join(_checked(plan), ["number", "block"])
         .withColumn("place", place)
-        .sortWithinPartitions("shard", "place")
+        .repartition("shard", F.pmod("place", F.lit(slices)))
+        .sortWithinPartitions("shard", F.pmod("place", F.lit(slices)), "place")
         .select(
             *[f"row.`{c}`" for c in docs.columns],
             F.col("shard").alias(shard),

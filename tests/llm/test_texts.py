@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from soundings.llm import queries
+from soundings.llm import mixing, queries
 from soundings.llm.credentials import base_spans, scan_secrets
 from soundings.llm.labelled import labelled_sample
 from soundings.llm.licenses import (
@@ -189,6 +189,59 @@ def test_mix_words(spark):
     assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, found.collect()), key=repr)
 
 
+def test_mix_words_is_what_the_shards_of_the_tree_draw(spark):
+    rows = [(i, "ab"[i % 2], " ".join(["w"] * (i % 7 * 3))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    weights, blocks, shards, seed = (1, 5), 16, 4, 5
+    found = {r.doc_id: r for r in mix_words(docs, weights, 3, blocks, shards, seed).collect()}
+    tape = mixing._rows(docs, seed, docs.doc_id)
+    quotas = block_quotas(source_targets(tape, weights, 3), blocks, 3)
+    sizes = {r.number: (r.source_text, r.source_size, r.blocks) for r in quotas.collect()}
+    drawn = defaultdict(lambda: [0] * shards)
+    for r in draws(quotas, shards, seed).collect():
+        drawn[r.number, r.block][r.shard] += 1
+    in_order = sorted(tape.collect(), key=lambda r: (r.order % math.isqrt(60), r.order, r.size))
+    for number, (source, size, n) in sizes.items():
+        words = [r.doc_id for r in in_order if r.source_text == source for _ in range(r["size"])]
+        taken = defaultdict(lambda: [0] * shards)
+        for block in range(n):
+            for doc in words[block * size // n : (block + 1) * size // n]:
+                taken[doc] = [a + b for a, b in zip(taken[doc], drawn[number, block], strict=True)]
+        for doc in range(number, 60, 2):
+            assert found[doc].shard_taken == taken[doc]
+            assert found[doc].taken == sum(taken[doc])
+    per_shard = np.sum([r.shard_taken for r in found.values()], axis=0)
+    assert (np.abs(per_shard - per_shard.mean()) <= 0.35 * per_shard.mean()).all()
+
+
+def test_children_of_a_node_share_its_draws(spark):
+    node = spark.createDataFrame([(0, 0, 401), (1, 0, 0), (2, 0, 100), (0, 1, 7)], "number long, shard long, quota long")
+    halves = [{(r.number, r.shard): r.quota for r in mixing._halved(node, seed).collect()} for seed in range(8)]
+    for half in halves:
+        assert half[0, 0] + half[2, 0] == 250 and half[0, 1] + half[2, 1] == 251
+        assert half[1, 0] == half[1, 1] == 0
+        assert half[0, 0] + half[0, 1] == 401 and (half[0, 2], half[0, 3]) == (3, 4)
+    assert len({half[0, 0] for half in halves}) > 1
+    assert all(160 <= half[0, 0] <= 241 for half in halves)
+
+
+def test_mix_documents_keeps_a_shard_together(spark):
+    rows = [(i, "ab"[i % 3 == 0], "w " * (i % 5 + 1), f"s{i}", f"p{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, shard string, place string")
+    mixed = mix_documents(docs, shards=4).withColumn("part", F.spark_partition_id())
+    rows = mixed.collect()
+    assert all((r.shard, r.place) == (f"s{r.doc_id}", f"p{r.doc_id}") for r in rows)
+    parts = defaultdict(set)
+    for r in rows:
+        parts[r.mix_shard].add(r.part)
+    assert len(parts) == 4 and all(len(p) == 1 for p in parts.values())
+    for shard in parts:
+        places = [r.mix_place for r in rows if r.mix_shard == shard]
+        assert places == sorted(places)
+        ids = [r.doc_id for r in rows if r.mix_shard == shard]
+        assert ids != sorted(ids)
+
+
 def test_splitting_tree_is_exact(spark):
     rows = [("a", False, 5000), ("b", False, 300), ("c", False, 7)]
     sizes = spark.createDataFrame(rows, "source_text string, source_none boolean, size long")
