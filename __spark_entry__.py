@@ -16,6 +16,7 @@ from soundings.schema import ACCEL_AXES, DEFAULT_ID_COLUMNS, SENSOR_SCHEMA
 from soundings.sources.catalog import VIEWS
 from soundings.sources.events import read_events_as_sensor_data
 from soundings.sources.workspace import shared_dir
+from soundings.streaming.detect import detectors
 from soundings.streaming.refresh import compact_outputs
 
 try:
@@ -103,6 +104,7 @@ def queries() -> dict[str, Query]:
         "create_sensor_table": _create_sensor_table,
         "catalog_views": _catalog_views,
         "refresh_outputs": _refresh_outputs,
+        "detect_events": _detect_events,
         "dive_plan_profile": _dive_plan_profile,
     }
     result = {name: _on_sensor_data(operator) for name, operator in plain.items()}
@@ -307,6 +309,22 @@ def _refresh_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [_numbers(s.read_output(spark, out, n), n) for n in VIEWS])
 
 
+def _detect_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of three stretches of time arrive one after another; sags and anomalies are detected."""
+    samples = read_events_as_sensor_data(spark, sf_dir)
+    arrived, out = shared_dir(spark, "arrived"), shared_dir(spark, "events")
+    checkpoint = shared_dir(spark, "progress")
+    micros = F.unix_micros("timestamp_utc")
+    first, last = samples.agg(F.min(micros), F.max(micros)).first()
+    third = F.floor((micros - F.lit(first)) * 3 / F.lit((last or 0) - (first or 0) + 1))
+    for part in range(3):
+        samples.where(third == part).write.mode("append").parquet(arrived)
+        s.detect_events(spark, arrived, out, checkpoint)
+    return reduce(
+        DataFrame.unionByName, [_numbers(s.read_events(spark, out, n), n) for n in detectors()]
+    )
+
+
 def _numbers(result: DataFrame, name: str) -> DataFrame:
     """(output, run_id, seq, label, measure, reading): a row for each number that is not NULL."""
     measures = [f.name for f in result.schema if f.name not in ("run_id", "seq", "timestamp_utc", "phase")]
@@ -707,6 +725,10 @@ FROM sensor_data WHERE {_HUMIDITY_OK} GROUP BY run_id""",
         " UNION ALL ".join(_long_form(name, *bodies[name]) for name in VIEWS),
         ["output", "run_id", "seq", "label", "measure", "~reading"],
     )
+    bodies["detect_events"] = (
+        " UNION ALL ".join(_long_form(name, *bodies[name]) for name in detectors()),
+        ["output", "run_id", "seq", "label", "measure", "~reading"],
+    )
     corpus_sql = {} if corpus is None else corpus.ORACLE_SQL
     return corpus_sql | {
         name: f"WITH sensor_data AS ({_SENSOR_DATA}), steps AS ({_PLAN_STEPS}), "

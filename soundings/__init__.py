@@ -50,6 +50,7 @@ from soundings.sources.split import (
     split_csv,
 )
 from soundings.sources.tables import read_sensor_data, write_sensor_data
+from soundings.streaming.detect import detect_events, read_events
 from soundings.streaming.refresh import read_output, read_samples, refresh_outputs
 
 __all__ = [name for name in dir() if not name.startswith("_")]
