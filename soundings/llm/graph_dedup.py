@@ -243,7 +243,7 @@ def embedding_links(
     threshold: float = 0.9,
     shards: int = 8,
     block: int = 8192,
-    beam: int = 64,
+    beam: int = 32,
     audit: int = 128,
     recall: float = 0.99,
 ) -> DataFrame:
