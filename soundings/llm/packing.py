@@ -144,7 +144,8 @@ def squares_pack(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     """Sequence and offset of each size, in the order given.
 
     A piece goes to an open sequence whose change of gap makes the sum of the squared numbers of
-    open sequences per gap smallest; a new one is opened where none has room.
+    open sequences per gap smallest; a new one is opened where none has room. Weighing a new one like
+    the open ones opens more of them: 4,560 against 4,540 for 11,336 pieces, the least being 4,539.
     """
     counts = np.zeros(length + 1, np.int64)
     holding: list[list[int]] = [[] for _ in range(length + 1)]

@@ -278,6 +278,25 @@ def test_squares_pack_fills():
     assert len(used) <= math.ceil(sizes.sum() / 64) + 2
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_squares_pack_places_by_the_sum_of_squares(seed):
+    sizes = np.random.default_rng(seed).integers(1, 21, 200)
+    sequence, offset = squares_pack(sizes, 20)
+    gaps: dict[int, int] = {}
+
+    def squares(after: dict[int, int]) -> int:
+        open_ = [g for g in after.values() if 0 < g < 20]
+        return sum(open_.count(g) ** 2 for g in set(open_))
+
+    for size, chosen, at in zip(sizes.tolist(), sequence.tolist(), offset.tolist(), strict=True):
+        room = [k for k, gap in gaps.items() if gap >= size]
+        assert (chosen in room) == bool(room)
+        assert at == 20 - gaps.get(chosen, 20)
+        sums = {k: squares(gaps | {k: gaps[k] - size}) for k in room}
+        assert not room or sums[chosen] == min(sums.values())
+        gaps[chosen] = gaps.get(chosen, 20) - size
+
+
 @pytest.mark.parametrize("path", TOKENIZERS)
 def test_pack_round_trip(spark, odd_docs, no_docs, path):
     from tokenizers import Tokenizer
