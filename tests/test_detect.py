@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from frames import at, samples
 
 import soundings as s
-from soundings.streaming.detect import detectors, read_events
+from soundings.streaming.detect import _taking, detectors, read_events
 
 OPERATORS = {"voltage_sag_events": s.voltage_sag_events, "motion_anomalies": s.motion_anomalies}
 
@@ -84,3 +86,30 @@ def test_rows_without_time_or_run_and_no_rows(feed, spark):
     feed.arrive(other=[{**r, "t": None} for r in rows])
     for name in OPERATORS:
         assert all(row[0] is None for row in feed.told(name))
+
+
+def test_many_short_runs_share_a_group(spark):
+    """Runs of a group are told apart, and the work of a trigger is one call per group."""
+    taken = []
+    detector = detectors()["motion_anomalies"]
+
+    def find(place, *readings):
+        taken.append(int((place == 0).sum()))
+        return detector.find(place, *readings)
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    take = _taking(find, 10, ["accel_mag"], 0)
+    runs = [f"run{k}" for k in range(500)]
+    part = pd.DataFrame({"run_id": runs * 11, "seq": np.repeat(range(11), 500), "micros": 5, "accel_mag": 9.81})
+    part.loc[part.index[-1], "accel_mag"] = 100.0
+    state = State()
+    assert list(take((0,), iter([part[: 500 * 6], part[500 * 6 : 500 * 10]]), state)) == []
+    (told,) = take((0,), iter([part[500 * 10 :]]), state)
+    assert taken == [500, 500] and told.run_id.tolist() == ["run499"]
+    assert told.z_score.round(6).tolist() == [3.015113]
+    assert len(state.get[3]) == 500 * 10 * 3 * 8 and set(state.get[2]) == {10}
