@@ -15,6 +15,7 @@ from soundings.functions.columns import ntz_from_instant, round_scaled
 from soundings.schema import ACCEL_AXES, DEFAULT_ID_COLUMNS, SENSOR_SCHEMA
 from soundings.sources.catalog import VIEWS
 from soundings.sources.events import read_events_as_sensor_data
+from soundings.sources.tables import run_group
 from soundings.sources.workspace import shared_dir
 from soundings.streaming.detect import detectors
 from soundings.streaming.refresh import compact_outputs
@@ -266,14 +267,18 @@ def _register_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish(spark: SparkSession, sf_dir: str) -> str:
-    """All samples by run, counters of 32 bits in some directories and 64 in others; half come late."""
+    """All samples by run, counters of 32 bits in some directories and 64 in others; half come late.
+
+    Runs share directories by groups, as there may be very many short ones.
+    """
+    groups = 64
     location, name = shared_dir(spark, "by_run"), f"sensor_data_{uuid.uuid4().hex}"
     samples = read_events_as_sensor_data(spark, sf_dir)
     for half, width in ((0, "int"), (1, "bigint")):
-        own = samples.where(F.pmod(F.xxhash64("run_id"), F.lit(2)) == half)
-        own = own.withColumn("seq", F.col("seq").cast(width)).repartition("run_id")
-        own.write.mode("append").partitionBy("run_id").parquet(location)
-        s.publish_sensor_data(spark, location, name, by_run=True)
+        own = samples.where(run_group(groups) % 2 == half)
+        own = own.withColumn("seq", F.col("seq").cast(width))
+        s.write_sensor_data(own, location, run_groups=groups, mode="append")
+        s.publish_sensor_data(spark, location, name, by_run=True, run_groups=groups)
     return name
 
 

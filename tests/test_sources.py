@@ -15,7 +15,7 @@ import soundings as s
 from soundings.schema import SENSOR_SCHEMA
 from soundings.sources.csv import id_columns, read_csv_text
 from soundings.sources.split import groups_from_keywords, output_name
-from soundings.sources.tables import canonical
+from soundings.sources.tables import canonical, run_group
 
 IDS = ["timestamp_utc", "seq", "run_id"]
 
@@ -329,6 +329,31 @@ def test_published_views_are_seen_by_any_session(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_id" in plan
 
 
+def test_many_runs_share_few_directories(spark, tmp_path):
+    runs = {f"r{n}": [battery(t, 16.0, 1.0) | depth(t, float(t)) for t in range(2)] for n in range(60)}
+    df = samples(spark, **runs, lost=[battery(0, 15.0, 1.0) | {"run_id": None}])
+    place = tmp_path / "grouped"
+    for half in (0, 1):
+        own = df.where(run_group(4) % 2 == half)
+        s.write_sensor_data(own, str(place), run_groups=4, mode="append")
+        names = s.publish_sensor_data(spark, str(place), "crowd", by_run=True, run_groups=4)
+    assert len([d for d in place.iterdir() if d.is_dir()]) == 4
+    table = spark.newSession().table("crowd")
+    assert table.schema == SENSOR_SCHEMA
+    assert sorted(map(tuple, table.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    for name in names[2:]:
+        operator = getattr(s, name.removeprefix("crowd_"))
+        expected = sorted(map(tuple, operator(df).collect()), key=repr)
+        assert sorted(map(tuple, spark.newSession().table(name).collect()), key=repr) == expected
+    one = table.where("run_id = 'r7'")
+    assert one.count() == 2
+    (group,) = {row[0] for row in df.where("run_id = 'r7'").select(run_group(4)).collect()}
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_group" in plan and f" = {group})]" in plan
+    with pytest.raises(ValueError, match="not in its group of 5"):
+        s.publish_sensor_data(spark, str(place), "crowd", by_run=True, run_groups=5)
+
+
 def test_nanoseconds_leave_the_session_alone(spark, tmp_path):
     times = pa.array([START.timestamp() * 1e9 // 1 + 1500 * n for n in range(2)]).cast(pa.int64())
     table = pa.table({
