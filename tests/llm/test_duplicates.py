@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from soundings.llm import graph_dedup
@@ -211,3 +213,21 @@ def test_graph_recall():
     ids, _ = graph.search(points[:200], 64)
     true = np.argsort(-(points[:200] @ points.T), axis=1)[:, :10]
     assert np.mean([len(set(i) & set(t)) for i, t in zip(ids, true, strict=True)]) >= 9
+
+
+def test_a_search_remembers_in_short_numbers_and_graphs_are_restored_whole():
+    vectors = np.random.default_rng(1).normal(size=(6000, 8))
+    rows = pd.DataFrame({"width": 8, "shard": 0, "node": range(6000), "copies": 1, "vector": list(vectors)})
+    points = graph_dedup._unit(vectors)
+    built = graph_dedup._built(rows)
+    graph = graph_dedup._restored(built, points)
+    whole = graph_dedup.SmallWorld(points)
+    assert len(graph.layers) == len(whole.layers) > 1
+    assert all((a == b).all() for a, b in zip(graph.layers, whole.layers, strict=True))
+    queries = points[:512]
+    tracemalloc.start()
+    ids, _ = graph.search(queries, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (ids == np.arange(512)[:, None]).any(1).mean() > 0.99
+    assert peak < 4 * 512 * 6000  # a number of 32 bits for each query and point would take that alone
