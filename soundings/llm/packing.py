@@ -20,14 +20,15 @@ from soundings.llm.common import staged, whole_text
 
 _WORDS_REMEMBERED = 400_000
 _TEXTS_AT_ONCE = 256
-_MARKS = frozenset(".,;:!?")
+#: Signs of ASCII that end a word as a token of their own kind; an apostrophe may not.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class _WordIds:
     """Token ids of texts as little-endian bytes.
 
-    A tokenizer that folds case, never joins what white space or a mark after a letter separates,
+    A tokenizer that folds case, never joins what white space or marks after letters separate,
     and ends every word with a token of its own kind, as a probe tells, works word by word: ids
     of words seen are remembered, and new words of letters are encoded many at a time. Any other
     tokenizer gets the whole texts. Remembered are two generations of a fixed number of words: words
@@ -46,6 +47,8 @@ class _WordIds:
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         probe = [self._ids(x) for x in ("Ab Cd,\nef", "ab", "cd", ",", "ef")]
         apart = probe[0] == sum(probe[1:], [])
+        runs = [(self._ids(f"ab{m}{n}"), self._ids("ab") + self._ids(m + n)) for m, n in zip(_MARKS, "!" + _MARKS)]
+        apart = apart and all(whole == parts for whole, parts in runs)
         self._by_word = apart and self._ends[probe[0]].sum() == 4
 
     def _ids(self, text: str) -> list[int]:
@@ -78,14 +81,14 @@ class _WordIds:
             if word in older:
                 known[word] = older[word]
                 continue
-            base = word[:-1] if word[-1:] in _MARKS else word
+            base = word.rstrip(_MARKS)
             if _all_letters(base):
                 if base in older:
                     known[base] = older[base]
                 elif base not in known:
                     plain.add(base)
-                if base is not word:
-                    marked.append((word, base, word[-1]))
+                if len(base) < len(word):
+                    marked.append((word, base, word[len(base) :]))
             else:
                 other.add(word)
         other.update({mark for _, _, mark in marked}.difference(known))

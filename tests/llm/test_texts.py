@@ -26,7 +26,7 @@ from soundings.llm.licenses import (
     scan_licenses,
 )
 from soundings.llm.mixing import block_quotas, draws, mix_documents, mix_words, source_targets
-from soundings.llm.packing import pack, squares_pack
+from soundings.llm.packing import _WordIds, pack, squares_pack
 from soundings.llm.quality import isotonic, score_quality
 from soundings.llm.toxicity import drop_toxic, folded, score_toxicity
 from tests.llm.conftest import ODD
@@ -340,3 +340,22 @@ def test_pipeline_stages_take_odd_rows(spark, odd_docs, tmp_path):
 
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+def test_words_ending_in_marks_are_not_encoded_alone():
+    words = _WordIds(TOKENIZERS[0])
+    tokenizer, alone = words._tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            alone.extend(x for x in texts if " " not in x)
+            return tokenizer.encode_batch_fast(texts, **more)
+
+    words._tokenizer = Counted()
+    texts = [f"{a}{m} {b}{m}{m}\n{a}'s {m}{b} {a}{m}'{m}" for a, b in (("innt", "éoué"), ("By", "x"))
+             for m in ("!!", ",&&&", ".", "***", "-", "\\", "~|", "]")]
+    assert words._by_word
+    found = words.encode(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not {"innt!!", "by,&&&", "x***"} & set(alone)
