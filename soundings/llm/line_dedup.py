@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,18 +10,16 @@ from pyspark.sql import functions as F
 
 from soundings.llm.common import staged, text_key, whole_text
 
-_BUCKETS = 16_384
-#: Up to this many lines to verify, their keys are broadcast; beyond it they are joined.
+_BUCKETS = 65_536
+#: Up to this many lines to verify or already told, their keys are broadcast; beyond it they are joined.
 _BROADCAST_LINES = 1_000_000
-#: Lines with more words have a second sketch of so many longs, as 64 bits tell them little.
+#: Sketches of lines with more words have two parts, as 64 bits tell them little.
 _SHORT_LINE = 64
-_WIDE = 2
-#: The words by which lines meet are dealt to so many rounds.
-_ROUNDS = 3
-_ID = ["rank", "at"]
+#: The words by which all lines meet are dealt to so many rounds.
+_ROUNDS = 2
 _KEY = ["h1", "h2"]
-_SKETCH = ["parity", *[f"wide_{k}" for k in range(_WIDE)]]
-_MET = [*_ID, "n", "pos", *_SKETCH]
+_SKETCH = ["odd_0", "odd_1"]
+_MET = ["id", "n", "pos", *_SKETCH]
 
 
 def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -34,46 +31,43 @@ def similar_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     with one doc_id are ordered by content. An empty table gives no rows.
 
     Words are ordered by rarity, told from counts in a fixed number of hash buckets; similar lines
-    share one of the first words in that order. Each line is first compared with the earliest line
-    of each word in the front half of these, and only lines that match none of these with all
-    earlier ones, so that groups of copies make no list of pairs. Pairs pass a length, a positional and a parity
-    filter, with more bits for longer lines, before their word sets are compared. Lines are told
-    apart by 128 bits of hashes.
+    share one of the first words in that order, for the shorter line one of about half as many.
+    Each line is first compared with the earliest line of each word in that half, and only lines
+    that match none of these with all others, so that groups of copies make no list of pairs.
+    Pairs pass a length, a positional and a parity filter, with more bits for longer lines, before
+    their word sets are compared. Lines are told apart by 128 bits of hashes.
 
     Returns rank (order of documents), doc_id, text_key, n_lines and removed (line numbers).
     """
-    documents = staged(_in_order(docs), "line-docs")
-    lines = documents.select("rank", F.posexplode("lines").alias("at", "line")).select(
-        "rank", "at", "line.h1", "line.h2"
-    )
+    lines = staged(_in_order(docs), "line-docs")
+    documents = lines.filter("at = 0")
     classes = staged(_classes(docs, lines, threshold, _rarity(docs)), "line-classes")
-    half = F.slice("prefix", F.lit(1), F.ceil(F.size("prefix") / 2).cast("int"))
-    resolved = staged(
-        _verified(docs, classes, _met_in_rounds(_with_leaders, classes, half, threshold), threshold),
-        "line-led",
+    led = staged(_with_leaders(classes, threshold), "line-met")
+    resolved = staged(_verified(docs, classes, led, threshold), "line-led")
+    flags = resolved.withColumn("led", F.lit(True))
+    if resolved.count() <= _BROADCAST_LINES:
+        flags = F.broadcast(flags)
+    open_ = classes.join(flags, "id", "left").withColumn("open", F.col("led").isNull())
+    met = reduce(
+        DataFrame.union,
+        [staged(_with_all(open_, k, threshold).distinct(), "line-met") for k in range(_ROUNDS)],
     )
-
-    def with_earlier(first: DataFrame) -> DataFrame:
-        rest = first.join(resolved, _ID, "left_anti")
-        return rest.join(first.select("word", *[F.col(c).alias(f"other_{c}") for c in _MET]), "word")
-
-    met = _met_in_rounds(with_earlier, classes, F.col("prefix"), threshold)
     more = staged(_verified(docs, classes, met, threshold), "line-more")
     similar = resolved.union(more).withColumn("similar", F.lit(True))
-    told = classes.join(similar, _ID, "left").select(
-        *_KEY, F.struct(*_ID).alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
+    told = classes.join(similar, "id", "left").select(
+        *_KEY, F.col("id").alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")
     )
     removed = (
         lines.join(told, _KEY)
-        .filter(F.col("similar") | (F.struct(*_ID) != F.col("first")))
-        .groupBy("rank")
+        .filter(F.col("similar") | (F.col("id") != F.col("first")))
+        .groupBy((F.col("id") - F.col("at")).alias("id"))
         .agg(F.array_sort(F.collect_list("at")).alias("removed"))
     )
-    return documents.join(removed, "rank", "left").select(
-        "rank",
+    return documents.join(removed, "id", "left").select(
+        F.col("id").alias("rank"),
         "doc_id",
         "text_key",
-        F.size("lines").cast("long").alias("n_lines"),
+        "n_lines",
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
     )
 
@@ -115,6 +109,7 @@ def _hashes(line: Column) -> Column:
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
+    """A row per line, numbered by `id` in order; those of a document follow each other."""
     text = whole_text()
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -125,53 +120,84 @@ def _in_order(docs: DataFrame) -> DataFrame:
     ordered = keyed.repartitionByRange("none", "doc_id").sortWithinPartitions(
         "none", "doc_id", "lines"
     )
-    return ordered.withColumn("rank", F.monotonically_increasing_id()).drop("none")
+    lines = ordered.select(
+        "doc_id",
+        "text_key",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.posexplode("lines").alias("at", "line"),
+    )
+    return lines.select(
+        F.monotonically_increasing_id().alias("id"), "at", "line.*", "doc_id", "text_key", "n_lines"
+    )
 
 
-def _by_word(classes: DataFrame, prefix: Column) -> DataFrame:
+def _by_word(classes: DataFrame, prefix: Column, *more: Column | str) -> DataFrame:
     """A row per line and word of `prefix`; words are met by 40 bits, which can only add pairs."""
     return classes.select(
-        *_ID, "n", *_SKETCH, F.posexplode(prefix).alias("pos", "ranked")
-    ).select(*_MET, F.col("ranked").bitwiseAND(F.lit((1 << 40) - 1)).alias("word"))
+        "id", "n", *_SKETCH, *more, F.posexplode(prefix).alias("pos", "ranked")
+    ).withColumn("word", F.col("ranked").bitwiseAND(F.lit((1 << 40) - 1)))
 
 
-def _with_leaders(front: DataFrame) -> DataFrame:
-    leaders = front.groupBy("word").agg(F.min(F.struct(*_MET)).alias("other"))
-    leaders = leaders.select("word", *[F.col(f"other.{c}").alias(f"other_{c}") for c in _MET])
-    return front.join(leaders, "word")
+def _front(threshold: float) -> Column:
+    """The part of the prefix in which a line meets similar ones that are no shorter."""
+    reach = F.col("n") - _needed(2 * F.col("n"), threshold) + 1
+    return F.slice("prefix", F.lit(1), reach.cast("int"))
 
 
-def _met_in_rounds(
-    meet: Callable[[DataFrame], DataFrame], classes: DataFrame, prefix: Column, threshold: float
-) -> DataFrame:
-    """(rank, at, r2, a2) of lines met at a word of `prefix` that may match.
+def _with_leaders(classes: DataFrame, threshold: float) -> DataFrame:
+    """(id, other_id) of lines and the earliest line of a front word, if they may match."""
+    by = W.partitionBy("word").orderBy("id")
+    postings = _by_word(classes, _front(threshold)).select("word", *_MET)
+    led = postings.select(*_MET, *[F.first(c).over(by).alias(f"other_{c}") for c in _MET])
+    found = led.filter((F.col("other_id") < F.col("id")) & _may_match(threshold))
+    return found.select("id", "other_id").distinct()
 
-    A fixed share of the words is shuffled at a time and its pairs are stored, so that scratch
-    disks never hold all postings.
+
+def _with_all(classes: DataFrame, round_: int, threshold: float) -> DataFrame:
+    """(id, other_id) of lines met at a word of this round that may match, the later `open`.
+
+    The longer line of a pair brings its prefix, the shorter one its front. Pairs that also share
+    the word before are left to that word, so most pairs are met once however much they share. A
+    fixed share of the words is shuffled at a time and its pairs are stored, so that scratch disks
+    never hold all postings.
     """
-    postings = _by_word(classes, prefix)
-    rounds = []
-    for k in range(_ROUNDS):
-        some = postings.filter(F.pmod("word", F.lit(_ROUNDS)) == k)
-        met = meet(some).filter(_may_match(threshold)).select(
-            *_ID, F.col("other_rank").alias("r2"), F.col("other_at").alias("a2")
-        )
-        rounds.append(staged(met.distinct(), "line-met"))
-    return reduce(DataFrame.union, rounds)
+    columns = ["word", *_MET, "open", "before"]
+
+    def postings(prefix: Column) -> DataFrame:
+        # Positions of posexplode count from 0, so `pos` is the place of the word before.
+        before = F.when(F.col("pos") > 0, F.element_at("prefix", F.col("pos")))
+        rows = _by_word(classes, prefix, "open", "prefix").withColumn("before", before)
+        return rows.filter(F.pmod("word", F.lit(_ROUNDS)) == round_).select(columns)
+
+    first = postings(F.col("prefix"))
+    others = postings(_front(threshold))
+    others = others.select("word", *[F.col(c).alias(f"other_{c}") for c in columns[1:]])
+    earlier = F.col("other_id") < F.col("id")
+    longer = (F.col("n") > F.col("other_n")) | ((F.col("n") == F.col("other_n")) & earlier)
+    anew = F.coalesce(F.col("before") != F.col("other_before"), F.lit(True))
+    wanted = F.when(earlier, F.col("open")).otherwise(F.col("other_open"))
+    found = first.join(others, "word").filter(longer & _may_match(threshold) & anew & wanted)
+    ids = F.greatest("id", "other_id").alias("id"), F.least("id", "other_id").alias("other_id")
+    return found.select(*ids)
 
 
 def _rarity(docs: DataFrame) -> Column:
-    """For each bucket of words, how often its words occur, as 64 times the binary logarithm."""
-    words = docs.select(F.explode(F.split(F.translate(whole_text(), "\n", " "), " ")).alias("word"))
+    """For each bucket of words, how often its words occur, as 64 times the binary logarithm.
+
+    The figure stands in the upper bits of a long, above 50 bits for the word.
+    """
+    lines = docs.select(F.explode(F.split(whole_text(), "\n")).alias("line"))
+    words = lines.select(F.explode(F.split("line", " ")).alias("word"))
     counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count().collect()
     table = [0] * _BUCKETS
     for bucket, count in counts:
-        table[bucket] = min(4095, int(count).bit_length() * 64 + (64 * count >> int(count).bit_length()))
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
+        log = int(count).bit_length() * 64 + (64 * count >> int(count).bit_length())
+        table[bucket] = min(4095, log) << 50
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
 def _bucket(hashed: Column) -> Column:
-    return hashed.bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
+    return hashed.bitwiseAND(F.lit(_BUCKETS - 1))
 
 
 def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column) -> DataFrame:
@@ -179,51 +205,44 @@ def _classes(docs: DataFrame, lines: DataFrame, threshold: float, rarity: Column
 
     A line of n words can only match one that has a word in common with its first
     n - ceil(threshold * n) + 1. The parity sketch has bit b set if an odd number of its words
-    fall on b, so two sketches differ in no more bits than the sets in words. The wide one of
-    longer lines has the same property with twice the bits.
+    fall on b, so two sketches differ in no more bits than the sets in words. Longer lines have
+    twice the bits, in two parts that make up the sketch of 64 bits; the others' second part is 0.
     """
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
     texts = texts.filter(F.trim("text") != "")
     texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text")
-    firsts = lines.groupBy(*_KEY).agg(F.min(F.struct(*_ID)).alias("first"))
-    rank = lambda hashed: F.shiftleft(
-        F.element_at(rarity, _bucket(hashed) + 1).cast("long"), 50
-    ).bitwiseOR(F.shiftrightunsigned(hashed, 14))
+    firsts = lines.groupBy(*_KEY).agg(F.min("id").alias("id"))
+    rank = lambda hashed: rarity[_bucket(hashed)].bitwiseOR(
+        F.shiftrightunsigned(hashed, 14)
+    )
     hashes = F.transform(_words("text"), lambda word: F.xxhash64(word))
     words = F.sort_array(F.transform(F.array_distinct(hashes), rank))
     n = F.size("words")
     reach = n - F.ceil(n * threshold - 1e-9) + 1
-    wide = [F.when(n > _SHORT_LINE, _parity(of_wide=k)).alias(f"wide_{k}") for k in range(_WIDE)]
+    long_ = n > _SHORT_LINE
     # Sketches and prefixes are shuffled, not texts: they are smaller.
     told = texts.select(*_KEY, words.alias("words")).select(
         *_KEY,
         n.alias("n"),
-        F.when(n <= _SHORT_LINE, _parity()).alias("parity"),
-        *wide,
+        F.when(long_, _parity(part=0)).otherwise(_parity()).alias("odd_0"),
+        F.when(long_, _parity(part=1)).otherwise(F.lit(0)).cast("long").alias("odd_1"),
         F.slice("words", F.lit(1), reach.cast("int")).alias("prefix"),
     )
-    # The parts of the wide sketch make up the narrow one.
-    parts = reduce(lambda a, b: a.bitwiseXOR(b), [F.col(f"wide_{k}") for k in range(_WIDE)])
-    told = told.withColumn("parity", F.coalesce("parity", parts))
     return told.dropDuplicates(_KEY).join(firsts, _KEY).select(
-        *_KEY, "first.rank", "first.at", "n", *_SKETCH, "prefix"
+        *_KEY, "id", "n", *_SKETCH, "prefix"
     )
 
 
-def _digit(word: Column, shift: int, of: int) -> Column:
-    return F.shiftright(word, shift).bitwiseAND(F.lit(of - 1)).cast("int")
-
-
-def _parity(of_wide: int | None = None) -> Column:
-    """64 bits: whether an odd number of words fall on each; of one part of the wide sketch."""
-    words = F.col("words")
-    if of_wide is not None:
-        words = F.filter(words, lambda word: _digit(word, 6, _WIDE) == of_wide)
-    one = F.lit(1).cast("long")
-    flip = lambda bits, word: bits.bitwiseXOR(
-        F.call_function("shiftleft", one, _digit(word, 0, 64))
+def _parity(part: int | None = None) -> Column:
+    """64 bits: whether an odd number of words fall on each; of one of the two parts of the words."""
+    parts = 1 if part is None else 2
+    # What a word flips is looked up: lambdas are interpreted, so each step less tells.
+    bits = [(1 << k % 64) - (k % 64 == 63) * (1 << 64) for k in range(64 * parts)]
+    flips = F.lit([b if part in (None, k // 64) else 0 for k, b in enumerate(bits)])
+    flip = lambda odd, word: odd.bitwiseXOR(
+        flips[word.bitwiseAND(F.lit(64 * parts - 1))]
     )
-    return F.aggregate(words, F.lit(0).cast("long"), flip)
+    return F.aggregate("words", F.lit(0).cast("long"), flip)
 
 
 def _words(text: str) -> Column:
@@ -241,48 +260,38 @@ def _may_match(threshold: float) -> Column:
     needed = _needed(both, threshold)
     before = F.least("pos", "other_pos")
     after = F.least(F.col("n") - F.col("pos"), F.col("other_n") - F.col("other_pos"))
-    differing = {c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in _SKETCH}
-    wide = sum(differing[c] for c in _SKETCH[1:])
+    differ = [F.col(c).bitwiseXOR(F.col(f"other_{c}")) for c in _SKETCH]
     most = both - 2 * needed
-    same = F.col("other_rank") == F.col("rank")
-    earlier = (F.col("other_rank") < F.col("rank")) | (same & (F.col("other_at") < F.col("at")))
+    alike = (F.col("n") > _SHORT_LINE) == (F.col("other_n") > _SHORT_LINE)
     return (
-        (differing["parity"] <= most)
-        # A short line has no wide sketch and passes.
-        & F.coalesce(wide <= most, F.lit(True))
+        (F.bit_count(differ[0].bitwiseXOR(differ[1])) <= most)
+        # Of a short and a longer line only the whole sketches can be compared.
+        & (~alike | (F.bit_count(differ[0]) + F.bit_count(differ[1]) <= most))
         & (before + after >= needed)
         & (F.least("n", "other_n") >= F.greatest("n", "other_n") * threshold - 1e-9)
-        & earlier
     )
 
 
 def _verified(
     docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float
 ) -> DataFrame:
-    """(rank, at) of the lines in `pairs` whose word sets really are similar to the other's."""
-    line = classes.select(*_ID, *_KEY)
-    other = classes.selectExpr("rank r2", "at a2", "h1 k1", "h2 k2")
-    near = staged(
-        pairs.distinct().join(line, _ID).join(other, ["r2", "a2"]).select(*_ID, *_KEY, "k1", "k2"),
-        "line-pairs",
-    )
-    wanted = staged(near.select(*_KEY).union(near.select("k1", "k2")).distinct(), "line-wanted")
-    if wanted.count() <= _BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
+    """`id` of the lines in `pairs` whose word sets really are similar to the other's."""
+    pairs = staged(pairs.distinct(), "line-pairs")
+    wanted = pairs.select("id").union(pairs.select("other_id")).distinct()
+    few = pairs.count() <= _BROADCAST_LINES // 2
+    hint = F.broadcast if few else lambda df: df
+    keys = staged(classes.select("id", *_KEY).join(hint(wanted), "id"), "line-wanted")
     texts = docs.select(F.explode(F.split(whole_text(), "\n")).alias("text"))
-    texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text").join(wanted, _KEY)
-    words = texts.dropDuplicates(_KEY).select(
-        *_KEY, F.array_distinct(_words("text")).alias("words")
-    )
-    others = words.select(
-        F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("words").alias("others")
+    texts = texts.select(F.inline(F.array(_hashes(F.col("text")))), "text").join(hint(keys), _KEY)
+    words = texts.dropDuplicates(["id"]).select(
+        "id", F.array_distinct(_words("text")).alias("words")
     )
+    others = words.select(F.col("id").alias("other_id"), F.col("words").alias("others"))
     common = F.size(F.array_intersect("words", "others"))
-    union = F.size("words") + F.size("others") - common
     return (
-        near.join(words, _KEY)
-        .join(others, ["k1", "k2"])
-        .filter(common >= threshold * union - 1e-9)
-        .select(*_ID)
+        pairs.join(words, "id")
+        .join(others, "other_id")
+        .filter(common >= _needed(F.size("words") + F.size("others"), threshold))
+        .select("id")
         .distinct()
     )

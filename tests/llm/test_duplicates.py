@@ -9,8 +9,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from soundings.llm import graph_dedup
+from soundings.llm import graph_dedup, line_dedup
 from soundings.llm.common import components
 from soundings.llm.exact_dedup import drop_exact_copies, exact_groups
 from soundings.llm.graph_dedup import SmallWorld, _audited, _unit, embedding_links
@@ -148,6 +149,35 @@ def test_similar_lines(docs, odd_docs, no_docs):
     assert drop_similar_lines(no_docs).collect() == []
 
 
+def test_lines_meet_once_however_much_they_share(spark):
+    shared = " ".join(f"w{k}" for k in range(30))
+    rows = [(i, f"{shared} own{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = line_dedup._in_order(docs).localCheckpoint()
+    classes = line_dedup._classes(docs, lines, 0.8, line_dedup._rarity(docs))
+    classes = classes.withColumn("open", F.lit(True)).localCheckpoint()
+    rounds = range(line_dedup._ROUNDS)
+    met = [r for k in rounds for r in line_dedup._with_all(classes, k, 0.8).collect()]
+    assert len({tuple(r) for r in met}) == 40 * 39 // 2
+    # A row per shared word of the prefix would be six times as many.
+    assert len(met) == 40 * 39 // 2
+
+
+def test_lines_of_other_lengths(spark):
+    """Shorter and longer lines, earlier and later, on both sides of 64 words."""
+    words = [f"w{k}" for k in range(90)]
+    cut = [words[:n] for n in (1, 2, 4, 5, 6, 9, 50, 62, 64, 65, 66, 79, 81, 90)]
+    cut += [words[:k] + words[k + 4 :] for k in (0, 30, 60)]
+    for order in (cut, cut[::-1]):
+        expected = [
+            any(len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)) for b in order[:i])
+            for i, a in enumerate(order)
+        ]
+        rows = [(i, " ".join(line)) for i, line in enumerate(order)]
+        told = similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id: bool(r.removed) for r in told} == dict(enumerate(expected))
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 16))
