@@ -117,7 +117,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
         text_key(text).alias("text_key"),
         F.transform(F.split(text, "\n"), _hashes).alias("lines"),
     )
-    ordered = keyed.repartitionByRange("none", "doc_id").sortWithinPartitions(
+    # Ranges are told from a first look at the rows, which should not hash all texts again.
+    ordered = staged(keyed, "line-keys").repartitionByRange("none", "doc_id").sortWithinPartitions(
         "none", "doc_id", "lines"
     )
     lines = ordered.select(
