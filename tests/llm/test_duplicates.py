@@ -163,8 +163,10 @@ def test_lines_meet_once_however_much_they_share(spark):
     assert len(met) == 40 * 39 // 2
 
 
-def test_lines_of_other_lengths(spark):
-    """Shorter and longer lines, earlier and later, on both sides of 64 words."""
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_lines_of_other_lengths(spark, monkeypatch, few):
+    """Shorter and longer lines, earlier and later, on both sides of 64 words; with and without broadcasts."""
+    monkeypatch.setattr(line_dedup, "_BROADCAST_LINES", few)
     words = [f"w{k}" for k in range(90)]
     cut = [words[:n] for n in (1, 2, 4, 5, 6, 9, 50, 62, 64, 65, 66, 79, 81, 90)]
     cut += [words[:k] + words[k + 4 :] for k in (0, 30, 60)]
